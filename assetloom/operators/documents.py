@@ -25,6 +25,7 @@ def batched(actions: DataFrame, max_docs: int = 500, max_bytes: int = 100 * 1024
     """A ``batch_id`` per action: no batch exceeds the number of documents or, unless one document
     alone does, the bytes. Batches are cut along each task's stream of rows; nothing is shuffled."""
     schema = T.StructType(actions.schema.fields + [T.StructField("batch_id", T.StringType())])
+    names, out_names = actions.columns, schema.fieldNames()
     tagged = actions.withColumn("_part", F.spark_partition_id()).withColumn("_size", F.octet_length("_source"))
 
     def run(batches):
@@ -32,15 +33,15 @@ def batched(actions: DataFrame, max_docs: int = 500, max_bytes: int = 100 * 1024
         for batch in batches:
             sizes = np.asarray(batch.column("_size").fill_null(0), dtype=np.int64)
             part = batch.column("_part")
-            names = []
+            numbers = []
             for n in sizes.tolist():
                 if docs and (docs >= max_docs or size + n > max_bytes):
                     number, docs, size = number + 1, 0, 0
                 docs, size = docs + 1, size + n
-                names.append(number)
-            keep = [batch.column(f.name) for f in actions.schema]
-            ids = pa.array([f"{p}-{n}" for p, n in zip(part.to_pylist(), names)], pa.string())
-            yield pa.RecordBatch.from_arrays(keep + [ids], names=schema.fieldNames())
+                numbers.append(number)
+            keep = [batch.column(name) for name in names]
+            ids = pa.array([f"{p}-{n}" for p, n in zip(part.to_pylist(), numbers)], pa.string())
+            yield pa.RecordBatch.from_arrays(keep + [ids], names=out_names)
 
     return tagged.mapInArrow(run, schema)
 

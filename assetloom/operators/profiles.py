@@ -61,13 +61,11 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float] = QUARTI
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     cumulated = running_totals(counts, [], column, {"_upto": F.col("_n")})
-    total = counts.agg(F.sum("_n").alias("_total"))
-    ranked = cumulated.join(F.broadcast(total))  # one-row total
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first().n
     picks = [
-        F.min(F.when(F.col("_upto") >= F.lit(s) * F.col("_total"), F.col(column))).alias(f"p{round(s * 100)}")
-        for s in shares
+        F.min(F.when(F.col("_upto") >= s * total, F.col(column))).alias(f"p{round(s * 100)}") for s in shares
     ]
-    return ranked.agg(*picks).select(F.lit(column).alias("column_name"), "*")
+    return cumulated.agg(*picks).select(F.lit(column).alias("column_name"), "*")
 
 
 def sample_hash(key: Column, seed: int = 0) -> Column:

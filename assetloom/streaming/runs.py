@@ -56,13 +56,22 @@ class PendingAssets(StatefulProcessor):
 
 
 def missing_as_failed_stream(log: DataFrame, closing: Sequence[str] = RUN_ENDS, failing: Sequence[str] | None = None,
-                             idle: str = "7 days") -> DataFrame:
+                             idle: str = "7 days", shards: int = 16) -> DataFrame:
     """Streaming form of ``operators.events.missing_as_failed`` for events that arrive in id order
-    per run. The session uses the RocksDB state store (``STATE_PROVIDER``)."""
+    per run. The session uses the RocksDB state store (``STATE_PROVIDER``).
+
+    A run is split by asset into ``shards`` states and its closing events go to each, so one run
+    that holds most of the events is worked on by many tasks.
+    """
     failing = tuple(closing if failing is None else failing)
-    rows = log.where(F.col("event_type").isin(PLANNED, MATERIALIZED, ASSET_FAILED, *closing))
+    kind = F.col("event_type")
+    rows = log.where(kind.isin(PLANNED, MATERIALIZED, ASSET_FAILED, *closing))
+    own = F.array(F.pmod(F.xxhash64("asset"), F.lit(shards)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(shards - 1))
+    rows = rows.select("run_id", "event_id", "ts", "asset", "event_type",
+                       F.explode(F.when(kind.isin(*closing), every).otherwise(own)).alias("shard"))
     idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
-    return rows.select("run_id", "event_id", "ts", "asset", "event_type").groupBy("run_id").transformWithStateInPandas(
+    return rows.groupBy("run_id", "shard").transformWithStateInPandas(
         statefulProcessor=PendingAssets(closing, failing, idle_ms), outputStructType=OUTPUT,
         outputMode="append", timeMode="ProcessingTime",
     )
