@@ -19,20 +19,23 @@ STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateSto
 
 class PendingAssets(StatefulProcessor):
     """State per run: the assets planned and not yet done. A run's closing event reports and clears
-    them; a run without any event for ``idle_ms`` is dropped by its time to live."""
+    them; a run without any event for ``idle_ms`` of event time is dropped by a timer."""
 
     def __init__(self, closing: Sequence[str], failing: Sequence[str], idle_ms: int):
         self.closing, self.failing, self.idle_ms = tuple(closing), tuple(failing), idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.pending = handle.getMapState("pending", "asset string", "event_id bigint", ttlDurationMs=self.idle_ms)
-        self.last = handle.getValueState("last", "event_id bigint", ttlDurationMs=self.idle_ms)
+        self.handle = handle
+        self.pending = handle.getMapState("pending", "asset string", "event_id bigint")
+        self.last = handle.getValueState("last", "event_id bigint, idle_at bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen = self.last.get()[0] if self.last.exists() else -1
+        seen, idle_at = self.last.get() if self.last.exists() else (-1, -1)
         out = []
         frames = list(rows)
-        batch = pd.concat(frames).drop_duplicates("event_id").sort_values("event_id") if frames else pd.DataFrame()
+        if not frames:
+            return
+        batch = pd.concat(frames).drop_duplicates("event_id").sort_values("event_id")
         for event_id, ts, asset, kind in batch[["event_id", "ts", "asset", "event_type"]].itertuples(index=False):
             if event_id <= seen:
                 continue  # played again
@@ -47,25 +50,36 @@ class PendingAssets(StatefulProcessor):
                 if kind in self.failing:
                     out += [(key[0], a, event_id, ts, kind, MESSAGE) for a in assets]
                 self.pending.clear()
-        self.last.update((int(seen),))
+        due = max(idle_at, int(batch["ts"].max().timestamp() * 1000) + self.idle_ms)
+        if due != idle_at:
+            if idle_at >= 0:
+                self.handle.deleteTimer(idle_at)
+            self.handle.registerTimer(due)
+        self.last.update((int(seen), due))
         if out:
             yield pd.DataFrame(out, columns=["run_id", "asset", "end_id", "end_ts", "end_type", "message"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.pending.clear()
+        self.last.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
 def missing_as_failed_stream(log: DataFrame, closing: Sequence[str] = RUN_ENDS, failing: Sequence[str] | None = None,
-                             idle: str = "7 days", shards: int = 16) -> DataFrame:
+                             idle: str = "7 days", late: str = "1 day", shards: int = 16) -> DataFrame:
     """Streaming form of ``operators.events.missing_as_failed`` for events that arrive in id order
     per run. The session uses the RocksDB state store (``STATE_PROVIDER``).
 
-    A run is split by asset into ``shards`` states and its closing events go to each, so one run
+    State is bounded by event time: rows later than ``late`` are left out, a run silent for ``idle``
+    is forgotten. A run is split by asset into ``shards`` states and its closing events go to each, so one run
     that holds most of the events is worked on by many tasks.
     """
     failing = tuple(closing if failing is None else failing)
     kind = F.col("event_type")
-    rows = log.where(kind.isin(PLANNED, MATERIALIZED, ASSET_FAILED, *closing))
+    rows = log.withWatermark("ts", late).where(kind.isin(PLANNED, MATERIALIZED, ASSET_FAILED, *closing))
     own = F.array(F.pmod(F.xxhash64("asset"), F.lit(shards)).cast("int"))
     every = F.sequence(F.lit(0), F.lit(shards - 1))
     rows = rows.select("run_id", "event_id", "ts", "asset", "event_type",
@@ -73,5 +87,5 @@ def missing_as_failed_stream(log: DataFrame, closing: Sequence[str] = RUN_ENDS,
     idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
     return rows.groupBy("run_id", "shard").transformWithStateInPandas(
         statefulProcessor=PendingAssets(closing, failing, idle_ms), outputStructType=OUTPUT,
-        outputMode="append", timeMode="ProcessingTime",
+        outputMode="append", timeMode="EventTime",
     )
