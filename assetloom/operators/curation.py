@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assetloom.functions.text import has_words, normal_case, one_line
 from assetloom.operators.profiles import sample_hash
+from assetloom.session import spread_for_write
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: str, count: str | None = None) -> DataFrame:
@@ -86,5 +87,5 @@ def assign_split(df: DataFrame, key: str, shares: Mapping[str, float], seed: int
 def write_splits(df: DataFrame, path: str, declared: Sequence[str], wanted: Sequence[str] | None = None) -> None:
     """Store the declared (and wanted) splits side by side; undeclared splits are skipped."""
     names = [s for s in declared if wanted is None or s in wanted]
-    rows = df.where(F.col("split").isin(*names)).hint("rebalance", F.col("split"))
+    rows = spread_for_write(df.where(F.col("split").isin(*names)), "split")
     rows.write.mode("overwrite").partitionBy("split").parquet(path)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import warnings
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -37,6 +38,7 @@ from assetloom.operators.slices import (
     with_layout,
 )
 from assetloom.operators.upsert import UpsertOptions, require_unique_keys, upsert
+from assetloom.session import spread_for_write
 
 HISTORY = (
     "table_name string, generation int, version int, mode string, committed_at timestamp, run_id string,"
@@ -79,6 +81,8 @@ class AssetTable:
              schema: T.StructType | None = None) -> DataFrame:
         """A slice of the latest version, or of ``version``; that beats the version the table was
         opened with. A missing table is an error, or empty with ``allow_missing``."""
+        if version is not None and self.pinned is not None and int(version) != self.pinned:
+            warnings.warn(f"reading version {version} of {self.name!r}, not the configured {self.pinned}", stacklevel=2)
         wanted = self.pinned if version is None else int(version)
         commits = self._commits()
         if wanted is not None and wanted not in [r.version for r in commits]:
@@ -144,7 +148,6 @@ class AssetTable:
             inside = F.coalesce(slice_predicate(dims, df.schema), F.lit(False))
             if not df.where(~inside).isEmpty():
                 raise ValueError("rows lie outside the slice")
-        options.setdefault("layout", layout_of(dims) if not self.layout() else None)
         return self._write(df, "overwrite_slice", dims=tuple(dims), **options)
 
     def overwrite_partitions(self, df: DataFrame | None, **options) -> int:
@@ -174,7 +177,9 @@ class AssetTable:
             return self._record(head, version, mode, tags, missing=True)
 
         stored_layout = _layout_from(head.layout_json) if head else ()
-        wanted_layout = stored_layout if layout is None else tuple(layout)
+        if layout is None:
+            layout = stored_layout if head else layout_of(dims)
+        wanted_layout = tuple(layout)
         if head is None:
             wanted_schema, generation, fresh = df.schema, 0, True
         else:
@@ -258,8 +263,7 @@ class AssetTable:
         parts = [f.name for f in layout]
         out = with_layout(df, layout)
         if parts:
-            # Co-locates a partition's rows; adaptive execution splits a partition that is too big.
-            out = out.hint("rebalance", *[F.col(p) for p in parts])
+            out = spread_for_write(out, *parts)
         settings = {"compression": "zstd", **options}
         out.write.mode("overwrite").options(**settings).partitionBy(*parts).parquet(target)
         try:

@@ -24,6 +24,8 @@ from assetloom.operators.upsert import UpsertOptions
 from assetloom.session import scratch
 
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
+MIN_QUERY_BYTES = 16 * 1024  # so that a block holds at most 4096 queries
+SCORE_CELLS = 4 * 1024 * 1024  # rows x queries scored at a time in a task
 SCORE_DIGITS = 9
 
 
@@ -87,6 +89,13 @@ def _ids(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist()) if pa.types.is_string(column.type) else np.asarray(column)
 
 
+def _pieces(batch: pa.RecordBatch, queries: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose score matrix stays small; none when there is nothing to score."""
+    step = max(1, SCORE_CELLS // max(1, queries))
+    for at in range(0, batch.num_rows if queries else 0, step):
+        yield batch.slice(at, step)
+
+
 def _rank(best: DataFrame, k: int) -> DataFrame:
     order = W.partitionBy("query_id").orderBy(F.desc("cosine"), "id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -101,7 +110,8 @@ def _search(corpus: DataFrame, queries: DataFrame, k: int, bytes_per_query: int,
         T.StructField("query_id", queries.schema["query_id"].dataType),
         T.StructField("id", corpus.schema["id"].dataType), T.StructField("cosine", T.DoubleType()),
     ])
-    blocks = max(1, math.ceil(queries.count() * bytes_per_query / QUERY_BLOCK_BYTES))
+    each = max(bytes_per_query, MIN_QUERY_BYTES)
+    blocks = max(1, math.ceil(queries.count() * each / QUERY_BLOCK_BYTES))
     if blocks == 1:
         return _rank(corpus.mapInArrow(kernel(queries), schema), k)
     out = scratch(spark, "nearest")
@@ -126,9 +136,9 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             best, kind = _Best(len(names), k), id_type
             for batch in batches:
                 kind = batch.schema.field("id").type
-                rows = _matrix(batch.column("vector"))
-                if len(rows) and len(names):
-                    best.add(np.round(rows @ matrix.T, SCORE_DIGITS), _ids(batch.column("id")))
+                for piece in _pieces(batch, len(names)):
+                    scores = np.round(_matrix(piece.column("vector")) @ matrix.T, SCORE_DIGITS)
+                    best.add(scores, _ids(piece.column("id")))
             if kind is not None:
                 yield from best.batches(names, pa.schema(
                     [("query_id", names.type), ("id", kind), ("cosine", pa.float64())]))
@@ -162,6 +172,16 @@ def _weights(terms: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row, slot, weight / np.where(norm == 0, 1.0, norm)[row]
 
 
+def _runs(upto: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive index ranges whose share of a running total is about ``most``."""
+    lo = 0
+    while lo < len(upto):
+        base = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, base + most, side="right")))
+        yield lo, hi
+        lo = hi
+
+
 def nearest_texts(corpus: DataFrame, queries: DataFrame, k: int, slots: int = TERM_SLOTS) -> DataFrame:
     """Nearest k texts by TF-IDF cosine: ``corpus(id, text)``, ``queries(query_id, text)``.
 
@@ -181,25 +201,29 @@ def nearest_texts(corpus: DataFrame, queries: DataFrame, k: int, slots: int = TE
         table = block.toArrow()  # one block: at most QUERY_BLOCK_BYTES
         names = table["query_id"].combine_chunks()
         q_row, q_slot, q_weight = _weights(table["terms"].combine_chunks(), idf)
-        used, position = np.unique(q_slot, return_inverse=True)
-        matrix = np.zeros((len(used), len(names)))
-        matrix[position, q_row] = q_weight
+        by_slot = np.argsort(q_slot, kind="stable")
+        q_row, q_weight = q_row[by_slot], q_weight[by_slot]
+        used, first, held = np.unique(q_slot[by_slot], return_index=True, return_counts=True)
 
         def run(batches):
             best, kind = _Best(len(names), k), None
             for batch in batches:
                 kind = batch.schema.field("id").type
-                if not batch.num_rows or not len(names):
-                    continue
-                row, slot, weight = _weights(batch.column("terms"), idf)
-                at = np.searchsorted(used, slot)
-                shared = (at < len(used)) & (used[np.minimum(at, len(used) - 1)] == slot)
-                scores = np.zeros((batch.num_rows, len(names)))
-                row, at, weight = row[shared], at[shared], weight[shared]
-                step = max(1, (8 << 20) // max(1, len(names)))
-                for i in range(0, len(row), step):  # bounded working memory
-                    np.add.at(scores, row[i:i + step], weight[i:i + step, None] * matrix[at[i:i + step]])
-                best.add(np.round(scores, SCORE_DIGITS), _ids(batch.column("id")))
+                for piece in _pieces(batch, len(names)):
+                    row, slot, weight = _weights(piece.column("terms"), idf)
+                    at = np.minimum(np.searchsorted(used, slot), max(len(used) - 1, 0))
+                    shared = used[at] == slot if len(used) else np.zeros(len(slot), dtype=bool)
+                    row, at, weight = row[shared], at[shared], weight[shared]
+                    scores = np.zeros(piece.num_rows * len(names))
+                    upto = np.cumsum(held[at])
+                    for lo, hi in _runs(upto, SCORE_CELLS):
+                        n = held[at[lo:hi]]
+                        start = np.cumsum(n) - n
+                        entry = np.arange(n.sum()) - np.repeat(start - first[at[lo:hi]], n)
+                        cell = np.repeat(row[lo:hi], n) * len(names) + q_row[entry]
+                        scores += np.bincount(cell, np.repeat(weight[lo:hi], n) * q_weight[entry], len(scores))
+                    scores = np.round(scores.reshape(piece.num_rows, len(names)), SCORE_DIGITS)
+                    best.add(scores, _ids(piece.column("id")))
             if kind is not None:
                 yield from best.batches(names, pa.schema(
                     [("query_id", names.type), ("id", kind), ("cosine", pa.float64())]))
@@ -276,9 +300,10 @@ def nearest_in_lists(indexed: DataFrame, centroids: np.ndarray, queries: DataFra
                 rows = np.flatnonzero(probed[lists].any(axis=1)) if len(names) else np.empty(0, dtype=int)
                 if not len(rows):
                     continue
-                some = batch.take(pa.array(rows))
-                scores = np.round(_matrix(some.column("vector")) @ matrix.T, SCORE_DIGITS)
-                best.add(scores, _ids(some.column("id")), probed[lists[rows]])
+                for piece in _pieces(batch.take(pa.array(rows)), len(names)):
+                    scores = np.round(_matrix(piece.column("vector")) @ matrix.T, SCORE_DIGITS)
+                    allowed = probed[np.asarray(piece.column("list_id"))]
+                    best.add(scores, _ids(piece.column("id")), allowed)
             if kind is not None:
                 yield from best.batches(names, pa.schema(
                     [("query_id", names.type), ("id", kind), ("cosine", pa.float64())]))

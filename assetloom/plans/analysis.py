@@ -14,6 +14,8 @@ from assetloom.plans.run_log import (
     ACTIONS_SQL, LOG_SQL, USAGE_SQL, action_cursors, actions, check_specs, log, usage_log,
 )
 from assetloom.plans.storage import fresh
+from assetloom.session import scratch
+from assetloom.sources import files
 
 # White space as in functions.text, for SQL regexes.
 _SPACE = text.SPACE
@@ -527,8 +529,6 @@ def curation_counts(spark, sf):
                 FROM documents) WHERE b < 0.9""")
 def split_subset(spark, sf):
     """Three declared splits, two of them wanted."""
-    from assetloom.session import scratch
-
     docs = curation.assign_split(
         table(spark, sf, "documents").select("doc_id"), "doc_id", {"train": 0.7, "valid": 0.2, "test": 0.1}, 5)
     path = scratch(spark, "splits")
@@ -598,12 +598,10 @@ def insert_objects(spark, sf):
 
 @query()
 def nearest_in_lists(spark, sf):
-    from assetloom.session import scratch
-
     corpus = _corpus(spark, sf)
     centroids = vectors.train_centroids(corpus, 16)
     path = scratch(spark, "lists")
-    vectors.assign_lists(corpus, centroids).hint("rebalance", F.col("list_id")).write.partitionBy("list_id").parquet(path)
+    files.write_parquet(vectors.assign_lists(corpus, centroids), path, partition_by=["list_id"])
     found = vectors.nearest_in_lists(spark.read.parquet(path), centroids, _label_means(spark, sf), 5, probes=4)
     return found.select("query_id", "id", F.col("rank").cast("bigint").alias("rank"),
                         F.round("certainty", 6).alias("certainty"))

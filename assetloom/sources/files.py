@@ -14,6 +14,7 @@ from assetloom.functions.literals import time_literal
 from assetloom.functions.names import glob_regex
 from assetloom.functions.text import path_parts
 from assetloom.operators.positions import row_index
+from assetloom.session import spread_for_write
 
 
 def scan_parquet(spark: SparkSession, path: str, *, hive: bool = True, n_rows: int | None = None,
@@ -194,5 +195,5 @@ def write_parquet(df: DataFrame, path: str, mode: str = "error", *, compression:
         options["parquet.column.statistics.enabled"] = "false"
     if replace_partitions:
         mode, options["partitionOverwriteMode"] = "overwrite", "dynamic"
-    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    out = spread_for_write(df, *partition_by) if partition_by else df
     out.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(path)

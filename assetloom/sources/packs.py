@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetloom.operators.tables import AssetTable
+from assetloom.session import spread_for_write
 
 
 def read_pack(spark: SparkSession, folder: str) -> dict[str, str]:
@@ -47,7 +48,7 @@ def parse_dataset_key(key: str) -> tuple[str, str]:
 
 
 def write_dataset(df: DataFrame, path: str, by: tuple[str, ...] = ("config", "revision", "split")) -> None:
-    df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").partitionBy(*by).parquet(path)
+    spread_for_write(df, *by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def read_dataset(spark: SparkSession, path: str, key: str | None = None, split: str | None = None,

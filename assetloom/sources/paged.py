@@ -6,10 +6,12 @@ import datetime as dt
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-# fetch(query, since, until, cursor, page_size) -> (rows, next cursor or None)
-Fetch = Callable[[str, str | None, str | None, str | None, int], tuple[list[tuple], str | None]]
+# fetch(query, since, until, cursor, page_size) -> (rows, next cursor or None); rows are tuples or an
+# Arrow table, which Spark takes over without a Python object per row.
+Fetch = Callable[[str, str | None, str | None, str | None, int], tuple[list[tuple] | pa.Table, str | None]]
 
 
 @dataclass
@@ -31,16 +33,15 @@ def split_window(query: str, start: dt.datetime, end: dt.datetime, step: dt.time
     return out
 
 
-def follow(fetch: Fetch, chain: Chain, page_size: int, limit: int | None) -> Iterator[tuple]:
+def follow(fetch: Fetch, chain: Chain, page_size: int, limit: int | None) -> Iterator:
     """Rows of a chain, page by page, until there is no next cursor or the limit is reached."""
-    cursor, given = None, 0
-    while True:
+    cursor, left = None, limit
+    while left is None or left > 0:
         rows, cursor = fetch(chain.query, chain.since, chain.until, cursor, page_size)
-        for row in rows:
-            if limit is not None and given >= limit:
-                return
-            given += 1
-            yield row
+        page = rows if left is None else rows[:left]
+        yield from page.to_batches() if isinstance(page, pa.Table) else page
+        if left is not None:
+            left -= len(page)
         if not cursor:
             return
 

@@ -30,32 +30,43 @@ class PendingAssets(StatefulProcessor):
         self.last = handle.getValueState("last", "event_id bigint, idle_at bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen, idle_at = self.last.get() if self.last.exists() else (-1, -1)
-        out = []
         frames = list(rows)
         if not frames:
             return
+        seen, idle_at = self.last.get() or (-1, -1)
         batch = pd.concat(frames).drop_duplicates("event_id").sort_values("event_id")
+        batch = batch[batch["event_id"] > seen]  # others were played before
+        if batch.empty:
+            return
+        # The stored plans are read only when the run closes; till then the batch's own net changes
+        # are kept here and stored at the end.
+        planned: dict[str, int] = {}
+        done: set[str] = set()
+        stored, out = True, []
         for event_id, ts, asset, kind in batch[["event_id", "ts", "asset", "event_type"]].itertuples(index=False):
-            if event_id <= seen:
-                continue  # played again
-            seen = event_id
             if kind == PLANNED:
-                self.pending.updateValue((asset,), (int(event_id),))
+                planned[asset] = event_id
             elif kind in (MATERIALIZED, ASSET_FAILED):
-                if self.pending.containsKey((asset,)):
-                    self.pending.removeKey((asset,))
-            elif kind in self.closing:
-                assets = [k[0] for k in self.pending.keys()]
+                planned.pop(asset, None)
+                done.add(asset)
+            else:
                 if kind in self.failing:
-                    out += [(key[0], a, event_id, ts, kind, MESSAGE) for a in assets]
-                self.pending.clear()
-        due = max(idle_at, int(batch["ts"].max().timestamp() * 1000) + self.idle_ms)
-        if due != idle_at:
+                    older = {k[0] for k in self.pending.keys()} - done if stored else set()
+                    out += [(key[0], a, event_id, ts, kind, MESSAGE) for a in older | set(planned)]
+                if stored:
+                    self.pending.clear()
+                planned, done, stored = {}, set(), False
+        for asset in done - set(planned) if stored else ():
+            self.pending.removeKey((asset,))
+        for asset, event_id in planned.items():
+            self.pending.updateValue((asset,), (int(event_id),))
+        latest = int(batch["ts"].max().timestamp() * 1000)
+        if latest + self.idle_ms > idle_at:  # the timer lies ahead, so that it seldom has to move
             if idle_at >= 0:
                 self.handle.deleteTimer(idle_at)
-            self.handle.registerTimer(due)
-        self.last.update((int(seen), due))
+            idle_at = latest + self.idle_ms * 3 // 2
+            self.handle.registerTimer(idle_at)
+        self.last.update((int(batch["event_id"].iloc[-1]), idle_at))
         if out:
             yield pd.DataFrame(out, columns=["run_id", "asset", "end_id", "end_ts", "end_type", "message"])
 
@@ -69,12 +80,12 @@ class PendingAssets(StatefulProcessor):
 
 
 def missing_as_failed_stream(log: DataFrame, closing: Sequence[str] = RUN_ENDS, failing: Sequence[str] | None = None,
-                             idle: str = "7 days", late: str = "1 day", shards: int = 16) -> DataFrame:
+                             idle: str = "7 days", late: str = "1 day", shards: int = 8) -> DataFrame:
     """Streaming form of ``operators.events.missing_as_failed`` for events that arrive in id order
     per run. The session uses the RocksDB state store (``STATE_PROVIDER``).
 
-    State is bounded by event time: rows later than ``late`` are left out, a run silent for ``idle``
-    is forgotten. A run is split by asset into ``shards`` states and its closing events go to each, so one run
+    State is bounded by event time: rows later than ``late`` are left out, a run silent for
+    ``idle`` to half as long again is forgotten. A run is split by asset into ``shards`` states and its closing events go to each, so one run
     that holds most of the events is worked on by many tasks.
     """
     failing = tuple(closing if failing is None else failing)
