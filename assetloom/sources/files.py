@@ -162,7 +162,8 @@ def folder_rollup(files: DataFrame, path: str = "path", size: str = "length", ti
 
 def load_files(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
                options: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows of CSV, JSON or Parquet files under an explicit schema, and the lines that do not fit it."""
+    """Rows of CSV, JSON or Parquet files under an explicit schema, and the lines that do not fit it
+    (to be stored as they are: Spark reads them only together with the parsed columns)."""
     reader = spark.read.options(**dict(options or {}))
     if fmt == "parquet":
         good = reader.schema(schema).parquet(path)

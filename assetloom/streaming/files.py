@@ -11,6 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from assetloom.sources.files import file_facts
 
+# Fixed value: the schema of Spark's binary file source.
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stream_parquet(spark: SparkSession, path: str, schema: T.StructType,
                    max_files: int | None = None) -> DataFrame:
@@ -24,7 +27,7 @@ def stream_parquet(spark: SparkSession, path: str, schema: T.StructType,
 def stream_manifest(spark: SparkSession, path: str, pattern: str | None = None,
                     max_files: int | None = None) -> DataFrame:
     """New files as manifest rows, without reading them."""
-    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if max_files:
