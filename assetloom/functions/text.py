@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that count as white space, as a regex class body.
-SPACE = (
-    r"\t\n\x0B\f\r\x1C-\x1F \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# The characters that count as white space.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0            "
+    "    　"
 )
+# The same set for a Java regex: Unicode white space and the four separators.
+SPACE_CLASS = r"\s\x1C-\x1F"
 
 
 def strip(c: Column) -> Column:
     """Drop white space at both ends."""
-    return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def word_count(c: Column) -> Column:
     """Number of white-space separated words; null for null."""
-    return F.regexp_count(c, F.lit(f"[^{SPACE}]+"))
+    return F.regexp_count(c, F.lit(f"(?U)[^{SPACE_CLASS}]+"))
 
 
 def has_words(minimum: int, *columns: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from assetloom.functions.literals import time_literal
 from assetloom.functions.names import name_filter, nominal_window, starts_with_regex
 from assetloom.operators.positions import running_totals
+from assetloom.session import checkpointed
 
 # Event types of a run log.
 RUN_START, RUN_SUCCESS, RUN_FAILURE, RUN_CANCELED = "RUN_START", "RUN_SUCCESS", "RUN_FAILURE", "RUN_CANCELED"
@@ -103,7 +104,7 @@ def step_spans(log: DataFrame, ranges: int | None = None) -> DataFrame:
     rows = log.select("event_id", "ts", "run_id", "step_key", "event_type")
     rows = rows.where(kind.isin(STEP_START, STEP_SUCCESS, STEP_FAILURE, *RUN_ENDS))
     ends = running_totals(rows, ["run_id"], "event_id", {"run_no": kind.isin(*RUN_ENDS).cast("int")}, True, ranges)
-    steps = ends.where(kind.startswith("STEP_"))
+    steps = checkpointed(ends.where(kind.startswith("STEP_")))  # numbered once, read three times
     done = kind.isin(STEP_SUCCESS, STEP_FAILURE)
     spans = running_totals(steps, ["run_id", "run_no", "step_key"], "event_id", {"span_no": done.cast("int")},
                            True, ranges)
@@ -161,6 +162,7 @@ def missing_as_failed(
     rows = log.select("event_id", "ts", "run_id", "asset", "event_type")
     rows = rows.where(kind.isin(PLANNED, MATERIALIZED, ASSET_FAILED, *closing))
     numbered = running_totals(rows, ["run_id"], "event_id", {"run_no": kind.isin(*closing).cast("int")}, True, ranges)
+    numbered = checkpointed(numbered)  # read for the closings and for the plans
     closings = numbered.where(kind.isin(*failing)).select(
         "run_id", "run_no", F.col("event_id").alias("end_id"), F.col("ts").alias("end_ts"),
         F.col("event_type").alias("end_type"),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from assetloom.functions.display import display_value
 from assetloom.operators.positions import running_totals
+from assetloom.session import checkpointed
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -57,9 +58,11 @@ def profile(df: DataFrame, accuracy: int = 10000) -> DataFrame:
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float] = QUARTILES) -> DataFrame:
     """Smallest value with at least the given share of rows at or below it.
 
-    Counts per value are running-summed over balanced value ranges, so no task holds all values.
+    Counts per value are running-summed over balanced value ranges, so no task holds all values. The
+    counts are read several times and therefore checkpointed.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    counts = checkpointed(counts)
     cumulated = running_totals(counts, [], column, {"_upto": F.col("_n")})
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first().n
     picks = [

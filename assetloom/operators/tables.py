@@ -12,7 +12,6 @@ overwrites it. With a catalog that has row-level operations (Iceberg, Delta), us
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 import warnings
 from collections.abc import Iterable, Sequence
@@ -280,17 +279,23 @@ class AssetTable:
     def _record(self, head: Row | None, version: int, mode: str, tags: dict, *, missing: bool = False,
                 generation: int | None = None, schema: T.StructType | None = None, layout=None,
                 replaced=None, rows: int = 0, total: int | None = None) -> int:
-        row = (
-            self.name,
-            generation if generation is not None else (head.generation if head else 0),
-            version, mode, dt.datetime.now(dt.timezone.utc), tags["run_id"], tags["partition_key"], rows,
-            total if total is not None else (head.total_rows if head else 0), missing,
-            json.dumps(schema.jsonValue()) if schema is not None else (head.schema_json if head else ""),
-            json.dumps([[f.column, f.transform, f.prefix] for f in layout]) if layout is not None
-            else (head.layout_json if head else "[]"),
-            json.dumps(replaced), tags["properties"],
-        )
-        entry = self.spark.createDataFrame([row], HISTORY).coalesce(1)
+        if layout is not None:
+            layout_json = json.dumps([[f.column, f.transform, f.prefix] for f in layout])
+        else:
+            layout_json = head.layout_json if head else "[]"
+        values = {
+            "table_name": self.name, "generation": generation if generation is not None else (head.generation if head else 0),
+            "version": version, "mode": mode, "run_id": tags["run_id"], "partition_key": tags["partition_key"],
+            "appended_rows": rows, "total_rows": total if total is not None else (head.total_rows if head else 0),
+            "missing": missing,
+            "schema_json": json.dumps(schema.jsonValue()) if schema is not None else (head.schema_json if head else ""),
+            "layout_json": layout_json, "replaced_json": json.dumps(replaced),
+        }
+        pairs = [F.lit(str(x)) for kv in tags["properties"].items() for x in kv]
+        row = self.spark.range(0, 1, 1, 1).select(
+            *[F.lit(v).alias(k) for k, v in values.items()], F.current_timestamp().alias("committed_at"),
+            F.create_map(*pairs).cast("map<string,string>").alias("properties"))
+        entry = row.select(*[F.col(c.name).cast(c.dataType) for c in T.DataType.fromDDL(HISTORY)])
         entry.write.mode("append").parquet(f"{self.path}/history")
         return version
 

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assetloom.functions.text import SPACE
 from assetloom.operators.contracts import Contract, ColumnSpec, Rule, require
 from assetloom.operators.tables import AssetTable
 from assetloom.operators.upsert import UpsertOptions
@@ -89,10 +88,10 @@ def _ids(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist()) if pa.types.is_string(column.type) else np.asarray(column)
 
 
-def _pieces(batch: pa.RecordBatch, queries: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose score matrix stays small; none when there is nothing to score."""
-    step = max(1, SCORE_CELLS // max(1, queries))
-    for at in range(0, batch.num_rows if queries else 0, step):
+def _pieces(batch: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose matrices of that width stay small; none when there is no query."""
+    step = max(1, SCORE_CELLS // max(1, width))
+    for at in range(0, batch.num_rows if width else 0, step):
         yield batch.slice(at, step)
 
 
@@ -156,7 +155,7 @@ TERM_SLOTS = 1 << 18
 
 def _terms(text: Column, slots: int) -> Column:
     """Hashed terms of a text: lower-cased runs of letters and numbers."""
-    words = F.filter(F.split(F.lower(text), rf"[^\p{{L}}\p{{N}}]+|[{SPACE}]+"), lambda w: w != "")
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(slots)).cast("int"))
 
 
@@ -203,26 +202,35 @@ def nearest_texts(corpus: DataFrame, queries: DataFrame, k: int, slots: int = TE
         q_row, q_slot, q_weight = _weights(table["terms"].combine_chunks(), idf)
         by_slot = np.argsort(q_slot, kind="stable")
         q_row, q_weight = q_row[by_slot], q_weight[by_slot]
-        used, first, held = np.unique(q_slot[by_slot], return_index=True, return_counts=True)
+        q_slot = q_slot[by_slot]
+        used, first, held = np.unique(q_slot, return_index=True, return_counts=True)
+        dense = None
+        if len(used) * len(names) <= SCORE_CELLS:  # few terms: a matrix product, else term by term
+            dense = np.zeros((len(used), len(names)))
+            dense[np.searchsorted(used, q_slot), q_row] = q_weight
 
         def run(batches):
             best, kind = _Best(len(names), k), None
             for batch in batches:
                 kind = batch.schema.field("id").type
-                for piece in _pieces(batch, len(names)):
+                for piece in _pieces(batch, max(len(names), len(used) if dense is not None else 0)):
                     row, slot, weight = _weights(piece.column("terms"), idf)
                     at = np.minimum(np.searchsorted(used, slot), max(len(used) - 1, 0))
                     shared = used[at] == slot if len(used) else np.zeros(len(slot), dtype=bool)
                     row, at, weight = row[shared], at[shared], weight[shared]
-                    scores = np.zeros(piece.num_rows * len(names))
-                    upto = np.cumsum(held[at])
-                    for lo, hi in _runs(upto, SCORE_CELLS):
-                        n = held[at[lo:hi]]
-                        start = np.cumsum(n) - n
-                        entry = np.arange(n.sum()) - np.repeat(start - first[at[lo:hi]], n)
-                        cell = np.repeat(row[lo:hi], n) * len(names) + q_row[entry]
-                        scores += np.bincount(cell, np.repeat(weight[lo:hi], n) * q_weight[entry], len(scores))
-                    scores = np.round(scores.reshape(piece.num_rows, len(names)), SCORE_DIGITS)
+                    if dense is not None:
+                        texts = np.zeros((piece.num_rows, len(used)))
+                        texts[row, at] = weight
+                        scores = texts @ dense
+                    else:
+                        scores = np.zeros(piece.num_rows * len(names))
+                        for lo, hi in _runs(np.cumsum(held[at]), SCORE_CELLS):
+                            n = held[at[lo:hi]]
+                            entry = np.arange(n.sum()) + np.repeat(first[at[lo:hi]] - (np.cumsum(n) - n), n)
+                            cell = np.repeat(row[lo:hi], n) * len(names) + q_row[entry]
+                            scores += np.bincount(cell, np.repeat(weight[lo:hi], n) * q_weight[entry], len(scores))
+                        scores = scores.reshape(piece.num_rows, len(names))
+                    scores = np.round(scores, SCORE_DIGITS)
                     best.add(scores, _ids(piece.column("id")))
             if kind is not None:
                 yield from best.batches(names, pa.schema(

@@ -18,7 +18,9 @@ from assetloom.session import scratch
 from assetloom.sources import files
 
 # White space as in functions.text, for SQL regexes.
-_SPACE = text.SPACE
+_SPACE = (
+    r"\t\n\x0B\f\r\x1C-\x1F \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)
 
 
 def _words(column: str) -> str:

@@ -18,60 +18,62 @@ STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateSto
 
 
 class PendingAssets(StatefulProcessor):
-    """State per run: the assets planned and not yet done. A run's closing event reports and clears
-    them; a run without any event for ``idle_ms`` of event time is dropped by a timer."""
+    """State per run: a list of (asset, still planned) changes, latest last. A run's closing event
+    reports the assets still planned and clears the list; a run silent for ``idle_ms`` of event time
+    is dropped by a timer. Per batch a run costs a handful of state calls, whatever its events."""
 
-    def __init__(self, closing: Sequence[str], failing: Sequence[str], idle_ms: int):
-        self.closing, self.failing, self.idle_ms = tuple(closing), tuple(failing), idle_ms
+    def __init__(self, closing: Sequence[str], failing: Sequence[str], idle_ms: int, compact_at: int = 1000):
+        self.closing, self.failing = tuple(closing), tuple(failing)
+        self.idle_ms, self.compact_at = idle_ms, compact_at
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "asset string", "event_id bigint")
-        self.last = handle.getValueState("last", "event_id bigint, idle_at bigint")
+        self.changes = handle.getListState("changes", "asset string, planned boolean")
+        self.last = handle.getValueState("last", "event_id bigint, idle_at bigint, n_changes int, n_kept int")
+
+    def _stored(self) -> dict[str, bool]:
+        return dict(tuple(row) for row in self.changes.get())
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frames = list(rows)
         if not frames:
             return
-        seen, idle_at = self.last.get() or (-1, -1)
+        seen, idle_at, n_stored, n_kept = self.last.get() or (-1, -1, 0, 0)
         batch = pd.concat(frames).drop_duplicates("event_id").sort_values("event_id")
         batch = batch[batch["event_id"] > seen]  # others were played before
         if batch.empty:
             return
-        # The stored plans are read only when the run closes; till then the batch's own net changes
-        # are kept here and stored at the end.
-        planned: dict[str, int] = {}
-        done: set[str] = set()
-        stored, out = True, []
+        new: dict[str, bool] = {}
+        out = []
         for event_id, ts, asset, kind in batch[["event_id", "ts", "asset", "event_type"]].itertuples(index=False):
-            if kind == PLANNED:
-                planned[asset] = event_id
-            elif kind in (MATERIALIZED, ASSET_FAILED):
-                planned.pop(asset, None)
-                done.add(asset)
-            else:
-                if kind in self.failing:
-                    older = {k[0] for k in self.pending.keys()} - done if stored else set()
-                    out += [(key[0], a, event_id, ts, kind, MESSAGE) for a in older | set(planned)]
-                if stored:
-                    self.pending.clear()
-                planned, done, stored = {}, set(), False
-        for asset in done - set(planned) if stored else ():
-            self.pending.removeKey((asset,))
-        for asset, event_id in planned.items():
-            self.pending.updateValue((asset,), (int(event_id),))
+            if kind not in self.closing:
+                new[asset] = kind == PLANNED
+                continue
+            if kind in self.failing:
+                known = {**self._stored(), **new} if n_stored else new
+                out += [(key[0], a, event_id, ts, kind, MESSAGE) for a, planned in known.items() if planned]
+            if n_stored:
+                self.changes.clear()
+            new, n_stored, n_kept = {}, 0, 0
+        if n_stored + len(new) > self.compact_at + 2 * n_kept:
+            new = {a: p for a, p in ({**self._stored(), **new} if n_stored else new).items() if p}
+            if n_stored:
+                self.changes.clear()
+            n_stored, n_kept = 0, len(new)
+        if new:
+            self.changes.appendList(list(new.items()))
         latest = int(batch["ts"].max().timestamp() * 1000)
         if latest + self.idle_ms > idle_at:  # the timer lies ahead, so that it seldom has to move
             if idle_at >= 0:
                 self.handle.deleteTimer(idle_at)
             idle_at = latest + self.idle_ms * 3 // 2
             self.handle.registerTimer(idle_at)
-        self.last.update((int(batch["event_id"].iloc[-1]), idle_at))
+        self.last.update((int(batch["event_id"].iloc[-1]), idle_at, n_stored + len(new), n_kept))
         if out:
             yield pd.DataFrame(out, columns=["run_id", "asset", "end_id", "end_ts", "end_type", "message"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.pending.clear()
+        self.changes.clear()
         self.last.clear()
         return iter(())
 

@@ -13,7 +13,9 @@ from compare import values
 from test_events import make_log, random_rows
 
 
-def test_runs_in_many_batches(spark, root):
+@pytest.mark.parametrize("compact_at", [1000, 2])
+def test_runs_in_many_batches(spark, root, compact_at, monkeypatch):
+    monkeypatch.setattr(runs.PendingAssets.__init__, "__defaults__", (compact_at,))
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", runs.STATE_PROVIDER)
     log = make_log(spark, random_rows(300)).withColumn("ts", F.col("ts").cast("timestamp"))
     for n in range(3):  # files in id order
