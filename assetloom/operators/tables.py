@@ -37,7 +37,7 @@ from assetloom.operators.slices import (
     with_layout,
 )
 from assetloom.operators.upsert import UpsertOptions, require_unique_keys, upsert
-from assetloom.session import spread_for_write
+from assetloom.session import path_exists, spread_for_write
 
 HISTORY = (
     "table_name string, generation int, version int, mode string, committed_at timestamp, run_id string,"
@@ -114,7 +114,10 @@ class AssetTable:
             + [T.StructField("_v", T.IntegerType())]
             + [T.StructField(f.name, T.StringType()) for f in layout]
         )
-        df = self.spark.read.schema(full).option("basePath", path).parquet(path)
+        if head.total_rows == 0 and not path_exists(self.spark, path):  # created, not yet written
+            df = self.spark.createDataFrame([], full)
+        else:
+            df = self.spark.read.schema(full).option("basePath", path).parquet(path)
         df = df.where(_live_predicate([r for r in commits if r.generation == head.generation]))
         if where is not None:
             df = df.where(where)
@@ -134,6 +137,17 @@ class AssetTable:
 
     # --- writing ---------------------------------------------------------------------------------
 
+    def create(self, schema: T.StructType, layout: Sequence[LayoutField] = (), run_id: str = "",
+               properties: dict[str, str] | None = None) -> int:
+        """Declare an empty table, if there is none yet; returns its latest version."""
+        commits = self._commits()
+        if self._stored(commits) is not None:
+            return commits[-1].version
+        check_layout(layout, schema)
+        tags = dict(run_id=run_id, partition_key="", properties=properties or {})
+        version = commits[-1].version + 1 if commits else 0
+        return self._record(None, version, "create", tags, schema=schema, layout=tuple(layout), replaced="all")
+
     def append(self, df: DataFrame | None, **options) -> int:
         return self._write(df, "append", **options)
 

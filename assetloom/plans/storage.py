@@ -381,6 +381,17 @@ def name_filters(spark, sf):
 # --- writes --------------------------------------------------------------------------------------
 
 
+@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F'")
+def create_then_append(spark, sf):
+    """Created with a layout and properties, a second time without effect, then filled."""
+    t, orders = fresh(spark, "orders"), table(spark, sf, "orders")
+    layout = (LayoutField("o_orderstatus"),)
+    t.create(orders.schema, layout, properties={"owner": "sales"})
+    t.create(orders.schema)
+    t.append(orders)
+    return t.read(dims=[StaticDim("o_orderstatus", ("F",))], columns=["o_orderkey", "o_orderpriority"])
+
+
 @query("SELECT c_custkey, c_mktsegment FROM customer UNION ALL SELECT c_custkey, c_mktsegment FROM customer")
 def append_twice(spark, sf):
     t, rows = fresh(spark, "customer"), table(spark, sf, "customer").select("c_custkey", "c_mktsegment")

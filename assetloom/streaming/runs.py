@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from assetloom.operators.events import ASSET_FAILED, MATERIALIZED, PLANNED, RUN_ENDS
+from assetloom.session import shuffle_partitions
 
 OUTPUT = "run_id string, asset string, end_id bigint, end_ts timestamp, end_type string, message string"
 MESSAGE = "planned for the run, which ended before it was materialized"
@@ -39,13 +40,15 @@ class PendingAssets(StatefulProcessor):
         if not frames:
             return
         seen, idle_at, n_stored, n_kept = self.last.get() or (-1, -1, 0, 0)
-        batch = pd.concat(frames).drop_duplicates("event_id").sort_values("event_id")
-        batch = batch[batch["event_id"] > seen]  # others were played before
-        if batch.empty:
+        found = {}
+        for f in frames:
+            columns = (f[c].tolist() for c in ("event_id", "ts", "asset", "event_type"))
+            found.update((row[0], row) for row in zip(*columns) if row[0] > seen)  # others were played before
+        if not found:
             return
         new: dict[str, bool] = {}
         out = []
-        for event_id, ts, asset, kind in batch[["event_id", "ts", "asset", "event_type"]].itertuples(index=False):
+        for event_id, ts, asset, kind in (found[i] for i in sorted(found)):
             if kind not in self.closing:
                 new[asset] = kind == PLANNED
                 continue
@@ -62,13 +65,13 @@ class PendingAssets(StatefulProcessor):
             n_stored, n_kept = 0, len(new)
         if new:
             self.changes.appendList(list(new.items()))
-        latest = int(batch["ts"].max().timestamp() * 1000)
+        latest = int(max(row[1] for row in found.values()).timestamp() * 1000)
         if latest + self.idle_ms > idle_at:  # the timer lies ahead, so that it seldom has to move
             if idle_at >= 0:
                 self.handle.deleteTimer(idle_at)
             idle_at = latest + self.idle_ms * 3 // 2
             self.handle.registerTimer(idle_at)
-        self.last.update((int(batch["event_id"].iloc[-1]), idle_at, n_stored + len(new), n_kept))
+        self.last.update((max(found), idle_at, n_stored + len(new), n_kept))
         if out:
             yield pd.DataFrame(out, columns=["run_id", "asset", "end_id", "end_ts", "end_type", "message"])
 
@@ -82,15 +85,17 @@ class PendingAssets(StatefulProcessor):
 
 
 def missing_as_failed_stream(log: DataFrame, closing: Sequence[str] = RUN_ENDS, failing: Sequence[str] | None = None,
-                             idle: str = "7 days", late: str = "1 day", shards: int = 8) -> DataFrame:
+                             idle: str = "7 days", late: str = "1 day", shards: int | None = None) -> DataFrame:
     """Streaming form of ``operators.events.missing_as_failed`` for events that arrive in id order
     per run. The session uses the RocksDB state store (``STATE_PROVIDER``).
 
-    State is bounded by event time: rows later than ``late`` are left out, a run silent for
-    ``idle`` to half as long again is forgotten. A run is split by asset into ``shards`` states and its closing events go to each, so one run
-    that holds most of the events is worked on by many tasks.
+    State is bounded by event time: rows later than ``late`` are left out, a run silent for ``idle``
+    to half as long again is forgotten. A run is split by asset into ``shards`` states (more on a
+    larger cluster) and its closing events go to each, so one run that holds most of the events is
+    worked on by many tasks.
     """
     failing = tuple(closing if failing is None else failing)
+    shards = shards or max(1, min(16, shuffle_partitions(log.sparkSession) // 4))
     kind = F.col("event_type")
     rows = log.withWatermark("ts", late).where(kind.isin(PLANNED, MATERIALIZED, ASSET_FAILED, *closing))
     own = F.array(F.pmod(F.xxhash64("asset"), F.lit(shards)).cast("int"))

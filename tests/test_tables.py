@@ -168,6 +168,19 @@ def test_relayout_down_to_none(spark, root):
     assert t.read(version=0).count() == 1440
 
 
+def test_create_if_absent(spark, root):
+    t = AssetTable(spark, root, "c")
+    assert t.create(minutes(spark).schema, (LayoutField("category"),), properties={"owner": "me"}) == 0
+    assert t.create(spark.range(1).schema) == 0
+    assert t.read().count() == 0 and t.layout() == (LayoutField("category"),)
+    t.upsert(minutes(spark), UpsertOptions(("timestamp",)))
+    t.append(minutes(spark))
+    assert t.read(dims=[StaticDim("category", ("A",))]).count() == 960
+    assert t.history().where("version = 0").first().properties == {"owner": "me"}
+    with pytest.raises(TypeError):
+        AssetTable(spark, root, "d").create(minutes(spark).schema, (LayoutField("value"),))
+
+
 def test_missing_and_empty(spark, root):
     t = AssetTable(spark, root, "e")
     with pytest.raises(FileNotFoundError):
