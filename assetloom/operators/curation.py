@@ -19,9 +19,11 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: str, count: str | N
     most of the rows costs one row per task. ``count`` names a column for the number of copies.
     """
     rest = [c for c in df.columns if c not in keys and c != order]
-    first = F.min(F.struct(order, *[c for c in rest])).alias("_first")
     counted = [F.count(F.lit(1)).alias(count)] if count else []
-    rows = df.groupBy(*keys).agg(first, *counted)
+    if not rest:  # a plain number as buffer lets Spark aggregate by hash instead of by sort
+        return df.groupBy(*keys).agg(F.min(order).alias(order), *counted).select(
+            *df.columns, *([count] if count else []))
+    rows = df.groupBy(*keys).agg(F.min(F.struct(order, *rest)).alias("_first"), *counted)
     return rows.select(
         *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns], *([count] if count else [])
     )

@@ -19,10 +19,11 @@ def row_counts(df: DataFrame, *partition: str) -> DataFrame:
     return df.groupBy(*partition).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def profile(df: DataFrame, accuracy: int = 10000) -> DataFrame:
+def profile(df: DataFrame, accuracy: int = 1000) -> DataFrame:
     """One row per column from a single pass: count, nulls, mean, std, min, quartiles, max.
 
-    Quartiles are sketches; ``exact_quantiles`` gives exact ones. Text and times show min and max as
+    Quartiles are sketches, off by at most one ``accuracy``-th of the rows; ``exact_quantiles`` gives
+    exact ones. Text and times show min and max as
     text, nested columns only the counts.
     """
     aggs, rows = [], []

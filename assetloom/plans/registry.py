@@ -24,4 +24,6 @@ def query(sql: str | None = None) -> Callable[[QueryFunction], QueryFunction]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One given table. Its times carry no zone, so the session reads them as UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
