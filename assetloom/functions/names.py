@@ -26,6 +26,15 @@ def glob_regex(pattern: str) -> str:
     return "(?s)^" + "".join(out) + "$"
 
 
+def path_glob_regex(pattern: str) -> str:
+    """A regex body for a path wildcard: ``*`` and ``?`` stay within a folder, ``**`` spans folders."""
+    out = []
+    for piece in re.split(r"(\*\*/|\*\*|\*|\?)", pattern):
+        wild = {"**/": "(?:.*/)?", "**": ".*", "*": "[^/]*", "?": "[^/]"}.get(piece)
+        out.append(wild or re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", piece))
+    return "".join(out)
+
+
 def like_any(c: Column, patterns: Sequence[str]) -> Column:
     hit = F.lit(False)
     for pattern in patterns:

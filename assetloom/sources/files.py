@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetloom.functions.literals import time_literal
-from assetloom.functions.names import glob_regex
+from assetloom.functions.names import glob_regex, path_glob_regex
 from assetloom.functions.text import path_parts
 from assetloom.operators.positions import row_index
 from assetloom.session import spread_for_write
@@ -81,11 +81,16 @@ def manifest(spark: SparkSession, path: str, *, pattern: str | None = None, recu
              extension: str | None = None, contains: str | None = None, modified_after: dt.datetime | None = None,
              modified_before: dt.datetime | None = None, limit: int | None = None) -> DataFrame:
     """One row per file without reading it: path, size, time and facts. Time bounds are inclusive,
-    extension and name search ignore case."""
+    extension and name search ignore case. A ``pattern`` without a slash is matched with the names;
+    one with slashes with the path below ``path``, ``**`` spanning folders."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
+        last = pattern.rsplit("/", 1)[-1]
+        reader = reader.option("pathGlobFilter", "*" if "**" in last else last)
     df = reader.load(path).select("path", "length", "modificationTime")
+    if pattern and "/" in pattern:
+        base = path.split(":", 1)[-1].rstrip("/").replace("//", "/")
+        df = df.where(F.col("path").rlike(f"\\Q{base}\\E/{path_glob_regex(pattern)}$"))
     df = df.withColumns(file_facts(F.col("path"), F.col("length")))
     return filter_files(df, extension=extension, contains=contains, modified_after=modified_after,
                         modified_before=modified_before, limit=limit)

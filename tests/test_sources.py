@@ -50,6 +50,8 @@ def test_manifest_and_contents(spark, root):
     assert all_files.where("name = 'report2.csv'").first().parent.endswith("/in/a/b")
     assert files.manifest(spark, f"{root}/in", extension=".csv").count() == 2
     assert files.manifest(spark, f"{root}/in", pattern="*.csv").count() == 1
+    for pattern, n in (("**/*.csv", 1), ("a/*.CSV", 1), ("*/*", 1), ("**/*", 3), ("a/**", 2), ("a/?/r*2.csv", 1), ("b/*", 0)):
+        assert files.manifest(spark, f"{root}/in", pattern=pattern).count() == n, pattern
     assert files.manifest(spark, f"{root}/in", contains="REPORT", limit=1).count() == 1
     assert files.manifest(spark, f"{root}/in", modified_after=new).count() == 2
     assert files.manifest(spark, f"{root}/in", modified_before=old).count() == 1
