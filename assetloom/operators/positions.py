@@ -25,8 +25,7 @@ _BOUND_ROWS = 2_000_000
 def _bound_share(df: DataFrame) -> float:
     """Share of the rows to look at for the bounds, so that the tasks' quantile sketches stay small
     together. The bounds only balance the work; every row is in the result whatever they are."""
-    width = 8 + sum(8 if not hasattr(f.dataType, "elementType") else 64 for f in df.schema)
-    rows = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) / width
+    rows = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) / (16 * len(df.columns))
     return min(1.0, max(1e-4, _BOUND_ROWS / max(rows, 1.0)))
 
 

@@ -76,9 +76,8 @@ def upsert(
             *[F.when(F.col("_hit"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns]
         )
     if insert:
-        out = out.unionByName(source.join(_matched(target, source, keys, null_safe), list(keys), "left_anti")
-                              if not null_safe else
-                              source.alias("s").join(_matched(target, source, keys, True).alias("t"), on, "left_anti"))
+        matched = _matched(target, source, keys, null_safe)
+        out = out.unionByName(source.alias("s").join(matched.alias("t"), on, "left_anti"))
     return out
 
 

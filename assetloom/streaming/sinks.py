@@ -14,7 +14,7 @@ from assetloom.operators.upsert import UpsertOptions
 def table_sink(table: AssetTable, query_id: str, mode: str = "append", keys: Sequence[str] = (),
                order: str | None = None, dims=(), layout=None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function. The batch id goes into the commit's tags, so a batch Spark plays
-    again is skipped. For an upsert the latest row per key (by ``order``) is written."""
+    again is skipped. An upsert with ``order`` keeps the latest row per key over all batches."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tags = {"query_id": query_id, "batch_id": str(batch_id)}
@@ -31,7 +31,12 @@ def table_sink(table: AssetTable, query_id: str, mode: str = "append", keys: Seq
         elif mode == "overwrite_partitions":
             table.overwrite_partitions(batch, **options)
         elif mode == "upsert":
-            latest = latest_per_key(batch, keys, order) if order else batch
+            latest = batch
+            if order:
+                if head is not None:  # a late batch must not replace newer rows
+                    stored = table.read(allow_missing=True, schema=batch.schema)
+                    batch = batch.unionByName(stored.join(batch.select(*keys), list(keys), "left_semi"))
+                latest = latest_per_key(batch, keys, order)
             if head is None:
                 table.overwrite(latest, **options)
             else:

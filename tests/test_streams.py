@@ -42,6 +42,8 @@ def test_replayed_batches_are_skipped(spark, root):
     merge(spark.createDataFrame([("a", 5), ("a", 3), ("c", 1)], "k string, v int"), 1)
     merge(spark.createDataFrame([("a", 9)], "k string, v int"), 1)
     assert values(u.read()) == [("a", 5), ("b", 2), ("c", 1)]
+    merge(spark.createDataFrame([("a", 4), ("c", 7)], "k string, v int"), 2)
+    assert values(u.read()) == [("a", 5), ("b", 2), ("c", 7)]
 
 
 @pytest.mark.parametrize("mode", ["overwrite_slice", "overwrite_partitions"])
