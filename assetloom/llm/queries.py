@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assetloom.llm.decontamination import contaminated
+from assetloom.llm.languages import held_out, predict_language
+from assetloom.llm.mixing import mix_sources
 from assetloom.llm.near_duplicates import near_duplicate_classes
 from assetloom.llm.repeats import remove_repeated_passages
 from assetloom.plans.registry import table
@@ -25,12 +28,29 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op3_super_kmer_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeated_passages(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query()
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))[0]
+
+
+@query()
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    predicted = predict_language(docs, docs.where(~held_out("doc_id", 3)))
+    return predicted.select("doc_id", held_out("doc_id", 3).alias("held_out"), "lang_pred", "score")
+
+
 @query()
 def op10_prob_minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = near_duplicate_classes(table(spark, sf_dir, "documents"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assetloom.llm.decontamination import contaminated
+from assetloom.llm.languages import held_out, predict_language
+from assetloom.llm.mixing import mix_sources
 from assetloom.llm.near_duplicates import near_duplicate_classes
 from assetloom.llm.repeats import remove_repeated_passages
 from assetloom.session import scratch
@@ -13,6 +16,13 @@ from assetloom.session import scratch
 ORACLE_SQL = None
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are written in a language; texts that are null or have no letter go."""
+    predicted = predict_language(docs, docs.where(~held_out("doc_id", 3))).where("lang_pred != 'und'")
+    return docs.where(F.col("text").rlike(r"\p{L}")).join(
+        predicted.select("doc_id").distinct(), F.col("doc_id").eqNullSafe(predicted["doc_id"]), "left_semi")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate class; documents without an id stay."""
     classes = near_duplicate_classes(docs)
@@ -31,9 +41,24 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length(text)).alias("n_chars"))
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = contaminated(docs, items).select("doc_id").distinct()
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes, with the size and target of its source."""
+    return mix_sources(docs)[0]
+
+
 STAGES = [
+    ("language_id", language_id),
     ("minhash_near_dedup", near_dedup),
     ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", decontaminate),
+    ("source_mix", mix),
 ]
 
 
