@@ -12,6 +12,7 @@ from assetloom.llm.languages import held_out, predict_language
 from assetloom.llm.mixing import mix_sources
 from assetloom.llm.near_duplicates import near_duplicate_classes
 from assetloom.llm.repeats import remove_repeated_passages
+from assetloom.llm.suffix_tree import suffix_tree_scores
 from assetloom.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +40,12 @@ def op3_super_kmer_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query()
+def op6_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = suffix_tree_scores(table(spark, sf_dir, "documents"), ~held_out("doc_id", 5))
+    return scores.withColumn("held_out", held_out("doc_id", 5))
+
+
 @query()
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))[0]
