@@ -6,10 +6,11 @@ replacement; a register keeps its earliest arrival. An element stops as soon as
 register, so long texts cost few arrivals per element. Two texts agree in a register with their probability Jaccard
 similarity. Bands of registers propose pairs and the exact similarity of the whole texts decides.
 
-Texts of equal words are one node, so copies never form pairs. In a bucket each node is compared with the smallest one;
-what that leaves apart is compared with a pseudorandom member of the bucket's smallest component, and what is still
-apart after that with every member of another component. A candidate pair is therefore either compared or already
-joined, and a group of copies stays a star.
+Texts of equal words are one node, so copies never form pairs. In a bucket each node is compared with the smallest one.
+Where that leaves several components in a bucket, blocks of its members are compared in memory: an inverted index of the
+block bounds every similarity from above by the shared weight, and only pairs of different components that pass the bound
+are compared exactly. So a candidate pair is either compared or already joined, no pairs are stored but the links found,
+and a group of copies stays a star.
 
 Nulls and texts without words are a class of their own. A null id has a null class. Rows of one id share a class.
 """
@@ -31,6 +32,7 @@ from assetloom.session import checkpointed
 REGISTERS = 128
 #: 25 bands of 5: a pair of similarity 0.8 shares a band with probability 0.99995.
 BANDS, ROWS = 25, 5
+BLOCK = 512
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
@@ -40,17 +42,13 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     sketched = checkpointed(rows.where("doc IS NOT NULL").mapInArrow(
         _sketcher(n), "doc long, digest binary, bands array<long>"))
     nodes = sketched.groupBy("digest").agg(F.min("doc").alias("node"), F.any_value("bands").alias("bands"))
-    buckets = checkpointed(nodes.select("node", F.posexplode("bands").alias("band", "key")))
+    buckets = nodes.select("node", F.explode("bands").alias("key"))
+    leaders = buckets.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = checkpointed(buckets.join(leaders, "key"))
     texts = rows.where("doc IS NOT NULL")
-
-    leader = buckets.groupBy("band", "key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = buckets.join(leader.drop("n"), ["band", "key"]).where("node > a").select("a", F.col("node").alias("b"))
-    links = checkpointed(_similar(pairs.distinct(), texts, n, threshold))
-    for last in (False, True):
-        labels = components(links)
-        apart = _contested(buckets, labels)
-        links = checkpointed(links.unionByName(
-            _similar((_across if last else _to_smallest)(apart).distinct(), texts, n, threshold)))
+    stars = shared.where("node > a").select("a", F.col("node").alias("b")).distinct()
+    links = checkpointed(_similar(stars, texts, n, threshold))
+    links = links.unionByName(_rest(shared, components(links), texts, n, threshold))
     same = sketched.groupBy("digest").agg(F.min("doc").alias("a")).join(
         sketched.select("doc", "digest"), "digest").select("a", F.col("doc").alias("b"))
     roots = components(links.unionByName(same))
@@ -58,32 +56,32 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         F.col("doc").alias(id_col), F.coalesce("root", "doc").alias("class_id"))
 
 
-def _contested(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components."""
-    known = buckets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ends = known.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return checkpointed(known.join(ends.where("low < high").drop("high"), ["band", "key"]))
-
-
-def _to_smallest(apart: DataFrame) -> DataFrame:
-    """Each member outside the smallest component with one member of it, another one in each bucket."""
-    one = apart.where("root = low").groupBy("band", "key").agg(
-        F.min_by("node", F.xxhash64("node", "band")).alias("a"))
-    return apart.where("root > low").join(one, ["band", "key"]).select("a", F.col("node").alias("b"))
+def _rest(shared: DataFrame, labels: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
+    """Links between components that meet in a bucket, where the comparison with the leader has not settled all.
 
-
-def _across(apart: DataFrame) -> DataFrame:
-    """Pairs of members of different components."""
-    left = apart.select("band", "key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    right = apart.select("band", "key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    return left.join(right, ["band", "key"]).where("root_a < root_b").select("a", "b")
+    Buckets of the same members count once. A bucket beyond ``BLOCK`` is cut into blocks by hash and each pair of blocks
+    is one group, so a group holds about ``2 * BLOCK`` texts however large the bucket is.
+    """
+    known = shared.join(labels, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    mixed_ones = known.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.first("n").alias("n"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members")).where("low < high AND n > 2")
+    chosen = mixed_ones.groupBy("members", "n").agg(F.min("key").alias("key"))
+    blocks = F.ceil(F.col("n") / BLOCK)
+    apart = known.join(chosen.select("key"), "key").withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+    dealt = apart.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).where(
+        (F.col("other") != F.col("block")) | (blocks == 1))
+    paired = checkpointed(dealt.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+                                       "node", "root"))
+    whole = paired.join(texts.select(F.col("doc").alias("node"), "body"), "node")
+    return whole.groupBy("key", "x", "y").applyInArrow(_linker(n, threshold), "a long, b long")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
     """The pairs whose exact similarity reaches the threshold."""
     whole = pairs.join(texts.select(F.col("doc").alias("b"), F.col("body").alias("right")), "b").join(
         texts.select(F.col("doc").alias("a"), F.col("body").alias("left")), "a")
-    return whole.mapInArrow(_verifier(n, threshold), "a long, b long")
+    return whole.select("a", "b", "left", "right").mapInArrow(_verifier(n, threshold), "a long, b long")
 
 
 def weighted_runs(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,7 +129,7 @@ def signatures(doc: np.ndarray, runs: np.ndarray, weight: np.ndarray, texts: int
 
 
 def _sketcher(n: int):
-    factors = streams(ROWS, 11)
+    factors, own = streams(ROWS, 11), streams(BANDS, 13)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,7 +139,7 @@ def _sketcher(n: int):
                 if not len(some):
                     continue
                 kept = signatures(*weighted_runs(words, n), piece.num_rows)[some, : BANDS * ROWS]
-                bands = mixed((kept.reshape(len(some), BANDS, ROWS) * factors).sum(axis=2, dtype=np.uint64))
+                bands = mixed((kept.reshape(len(some), BANDS, ROWS) * factors).sum(axis=2, dtype=np.uint64) + own)
                 joined, left, right = single_spaced(words)
                 ends = zip(left[words.first[some]].tolist(), right[words.first[some + 1] - 1].tolist())
                 digests = [hashlib.sha256(joined[a:b]).digest() for a, b in ends]
@@ -193,3 +191,46 @@ def _verifier(n: int, threshold: float):
                     yield half.select(["a", "b"]).filter(pa.array(alike))
 
     return verify
+
+
+def _linker(n: int, threshold: float):
+    def link(group: pa.Table) -> pa.Table:
+        group = group.select(["node", "root", "body"]).sort_by("node").combine_chunks()
+        nodes, roots = group["node"].to_numpy(), group["root"].to_numpy()
+        doc, runs, weight = weighted_runs(words_of(*buffer(group["body"].combine_chunks())), n)
+        found = list(_links(doc, runs, weight, roots, threshold))
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(nodes[a], pa.int64()), "b": pa.array(nodes[b], pa.int64())})
+
+    return link
+
+
+def _links(doc: np.ndarray, runs: np.ndarray, weight: np.ndarray, roots: np.ndarray,
+           threshold: float) -> Iterator[tuple[int, int]]:
+    """Similar pairs that join components; pairs already joined are passed over."""
+    size = len(roots)
+    share = weight / np.bincount(doc, weight, minlength=size)[doc]
+    _, run = np.unique(runs, return_inverse=True)
+    order = np.argsort(run, kind="stable")
+    holders, first = doc[order], np.searchsorted(run[order], np.arange(run.max() + 2)) if len(run) else np.zeros(1, int)
+    edge = np.searchsorted(doc, np.arange(size + 1))
+    _, group = np.unique(roots, return_inverse=True)
+    for i in range(size):
+        own = slice(edge[i], edge[i + 1])
+        begin, length = first[run[own]], np.diff(first)[run[own]]
+        place = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+        bound = np.bincount(holders[place], np.repeat(share[own], length), minlength=size)
+        for j in np.flatnonzero(bound[i + 1 :] >= threshold - 1e-9) + i + 1:
+            if group[i] == group[j]:
+                continue
+            other = slice(edge[j], edge[j + 1])
+            if _similarity(runs[own], weight[own], runs[other], weight[other]) >= threshold - 1e-9:
+                group[group == group[j]] = group[i]
+                yield i, j
+
+
+def _similarity(a: np.ndarray, v: np.ndarray, b: np.ndarray, w: np.ndarray) -> float:
+    both = np.union1d(a, b)
+    x, y = np.zeros(len(both)), np.zeros(len(both))
+    x[np.searchsorted(both, a)], y[np.searchsorted(both, b)] = v, w
+    return float(probability_jaccard(np.zeros(len(both), np.int64), x, y, 1)[0])
