@@ -2,9 +2,9 @@
 
 An item is indexed in parts of at most ``PART_WORDS`` words. A posting is the BM25 weight of a term in a part over the
 score that the part has against itself, so one threshold serves short and long items. Documents are read in passages of
-``PASSAGE_WORDS`` words that overlap by half. A passage whose terms' largest postings do not add up to the threshold has
-no pivot and is passed over for a whole batch at once; the others run block-max WAND and retrieve every part above the
-threshold. A retrieved item counts as found where the document also holds enough of the word runs of its question and of
+``PASSAGE_WORDS`` words that overlap by half. The most frequent terms add at most ``FREQUENT_SHARE`` to any part; a batch
+of passages first adds up the postings of the other terms, and a passage that stays too low for every part even with
+those terms has no pivot. The others run block-max WAND and retrieve every part above the threshold. A retrieved item counts as found where the document also holds enough of the word runs of its question and of
 its answer.
 
 Words are runs of letters and digits, A-Z in lower case. The index is cut into shards of ``SHARD_POSTINGS`` postings, one
@@ -30,6 +30,7 @@ from assetloom.session import checkpointed
 PART_WORDS, PASSAGE_WORDS = 48, 64
 SHARD_POSTINGS = 2_000_000
 BLOCK = 32
+FREQUENT_SHARE = 0.4
 RUN = 3
 
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -140,6 +141,23 @@ class _Index:
         self.largest = np.array([max(x) for x in self.weights])
         self.block_largest = [[max(x[i : i + BLOCK]) for i in range(0, len(x), BLOCK)] for x in self.weights]
 
+        self._split_by_frequency()
+
+    def _split_by_frequency(self) -> None:
+        """Lay out the postings of the infrequent terms; ``common`` is what the frequent ones add to a part at most."""
+        self.common = np.zeros(len(self.item))
+        held = np.array([len(x) for x in self.parts], np.int64)
+        for t in np.argsort(-held, kind="stable"):
+            more = self.common.copy()
+            more[self.parts[t]] += self.weights[t]
+            if more.max() > FREQUENT_SHARE:
+                break
+            self.common, held[t] = more, 0
+        kept = [t for t in range(len(held)) if held[t]]
+        self.held, self.first = held, np.cumsum(held) - held
+        self.held_part = np.array([x for t in kept for x in self.parts[t]], np.int64)
+        self.held_weight = np.array([x for t in kept for x in self.weights[t]])
+
     def terms_of(self, hashes: np.ndarray) -> np.ndarray:
         """The place of each word in the vocabulary; -1 for others."""
         if not len(self.vocabulary):
@@ -194,7 +212,7 @@ class _Index:
 def _searcher(index: _Index, threshold: float, overlap: float):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "body"):
+            for piece in pieces(batch, "body", 1 << 20):
                 found = list(_found(piece, index, threshold, overlap))
                 if found:
                     at, *columns = zip(*found)
@@ -212,20 +230,17 @@ def _found(piece: pa.RecordBatch, index: _Index, threshold: float, overlap: floa
     terms = index.terms_of(hashes)
     if not len(terms) or not len(index.largest):
         return
-    bound = np.concatenate([[0], np.cumsum(np.where(terms >= 0, index.largest[terms], 0))])
     half = PASSAGE_WORDS // 2
     steps = np.maximum(1, -(-words.counts // half) - 1) * (words.counts > 0)
-    doc = np.repeat(np.arange(piece.num_rows), steps)
-    start = words.first[doc] + half * (np.arange(len(doc)) - np.repeat(np.cumsum(steps) - steps, steps))
-    stop = np.minimum(start + PASSAGE_WORDS, words.first[doc + 1])
+    before = np.cumsum(steps) - steps
     best: dict[tuple[int, int], list] = {}
-    for i in np.flatnonzero(bound[stop] - bound[start] >= threshold - 1e-9):
-        own = np.unique(terms[start[i] : stop[i]])
+    for i in _promising(words, terms, index, threshold, steps, before):
+        d = int(np.searchsorted(before, i, "right")) - 1
+        start = words.first[d] + half * (i - before[d])
+        own = np.unique(terms[start : min(start + PASSAGE_WORDS, words.first[d + 1])])
         own = own[own >= 0]
-        if index.largest[own].sum() < threshold:
-            continue
         for part, score in index.search(own.tolist(), threshold):
-            entry = best.setdefault((int(doc[i]), index.item[part]), [0.0, 0, part])
+            entry = best.setdefault((d, index.item[part]), [0.0, 0, part])
             entry[0], entry[1] = max(entry[0], score), entry[1] + 1
     for (d, item), (score, passages, part) in best.items():
         own = hashes[words.first[d] : words.first[d + 1]]
@@ -234,6 +249,31 @@ def _found(piece: pa.RecordBatch, index: _Index, threshold: float, overlap: floa
             yield d, item, score, passages, *shares
 
 
+def _promising(words, terms: np.ndarray, index: _Index, threshold: float, steps: np.ndarray,
+               before: np.ndarray) -> np.ndarray:
+    """Passages that could reach the threshold for some part."""
+    at = np.flatnonzero(terms >= 0)
+    at = at[index.held[terms[at]] > 0]
+    count = index.held[terms[at]]
+    place = np.repeat(index.first[terms[at]] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+    at = np.repeat(at, count)
+    doc = words.doc[at]
+    late = np.minimum((at - words.first[doc]) // (PASSAGE_WORDS // 2), steps[doc] - 1)
+    early = np.maximum((at - words.first[doc]) // (PASSAGE_WORDS // 2) - 1, 0)
+    both = np.flatnonzero(early < late)
+    entry = np.concatenate([np.arange(len(at)), both])
+    passage = before[doc[entry]] + np.concatenate([late, early[both]])
+    key = passage * len(index.item) + index.held_part[place[entry]]
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    if not len(heads):
+        return heads
+    total = np.add.reduceat(index.held_weight[place[entry]][order], heads)
+    passage, part = np.divmod(key[heads], len(index.item))
+    return np.unique(passage[total + index.common[part] >= threshold - 1e-9])
+
+
 def _share(wanted: np.ndarray, hashes: np.ndarray) -> float:
     """Share of the runs that occur among the words; 1 where there is nothing to find."""
     if not len(wanted):
