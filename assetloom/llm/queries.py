@@ -11,8 +11,12 @@ from assetloom.llm.decontamination import contaminated
 from assetloom.llm.languages import held_out, predict_language
 from assetloom.llm.mixing import mix_sources
 from assetloom.llm.near_duplicates import near_duplicate_classes
+from assetloom.llm.outliers import quality_outliers
+from assetloom.llm.page_text import main_text
 from assetloom.llm.repeats import remove_repeated_passages
 from assetloom.llm.suffix_tree import suffix_tree_scores
+from assetloom.llm.tool_calls import link_tool_calls
+from assetloom.llm.url_lists import host_of, judged
 from assetloom.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,12 +38,89 @@ def op1_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_outliers(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_super_kmer_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeated_passages(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def page_list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list log that Spark derives from the pages: hosts, their domains and first paths come and go."""
+    seen = pages.select(host_of(F.col("url")).alias("host"), "page_id", F.lower("url").alias("url")).where("host != ''")
+    domain = F.regexp_replace("host", r"^(www|m|blog)\.", "")
+    prefix = F.concat("host", F.lit("/"), F.regexp_extract("url", r"^[a-z]+://[^/]*/([^/?#]*)", 1))
+    kinds = seen.select("page_id", F.explode(F.array(
+        F.struct(F.lit("host").alias("kind"), F.lit("block").alias("verdict"), F.col("host").alias("pattern")),
+        F.struct(F.lit("domain").alias("kind"), F.lit("block").alias("verdict"), domain.alias("pattern")),
+        F.struct(F.lit("prefix").alias("kind"), F.lit("allow").alias("verdict"), prefix.alias("pattern")))).alias("e"))
+    sums = kinds.groupBy("e.kind", "e.verdict", "e.pattern").agg(
+        F.min("page_id").alias("low"), F.max("page_id").alias("high"), F.count(F.lit(1)).alias("n"))
+    first = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("low") % 97).cast("int"))
+    second = F.date_add(first, (F.lit(20) + F.col("n") % 60).cast("int"))
+    third = F.date_add(second, (F.lit(10) + F.col("high") % 90).cast("int"))
+    dated = F.explode(F.array(
+        F.struct(first.alias("on_date"), F.lit("add").alias("action")),
+        F.struct(second.alias("on_date"), F.lit("remove").alias("action")),
+        F.struct(third.alias("on_date"), F.lit("add").alias("action")))).alias("d")
+    return sums.select(F.concat("kind", F.lit("s")).alias("list"), "verdict", "kind", "pattern", dated).select(
+        "list", "verdict", "kind", "pattern", "d.on_date", "d.action")
+
+
+OP4_SQL = r"""
+WITH page AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 365 AS INTEGER) AS fetched_on,
+         regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1) AS host,
+         list_filter(string_split(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '')
+           AS steps
+  FROM pages),
+named AS (
+  SELECT page_id, 'host' AS kind, 'block' AS verdict, host AS pattern FROM page WHERE host <> ''
+  UNION ALL SELECT page_id, 'domain', 'block', regexp_replace(host, '^(www|m|blog)\.', '') FROM page WHERE host <> ''
+  UNION ALL SELECT page_id, 'prefix', 'allow',
+    host || '/' || regexp_extract(lower(url), '^[a-z]+://[^/]*/([^/?#]*)', 1) FROM page WHERE host <> ''),
+sums AS (
+  SELECT kind, verdict, pattern, min(page_id) AS low, max(page_id) AS high, count(*) AS n FROM named GROUP BY ALL),
+days AS (
+  SELECT *, DATE '2024-01-01' + CAST(low % 97 AS INTEGER) AS d1 FROM sums),
+days2 AS (
+  SELECT *, d1 + CAST(20 + n % 60 AS INTEGER) AS d2 FROM days),
+stays AS (
+  SELECT kind, verdict, pattern, d1 AS valid_from, d2 AS valid_to FROM days2
+  UNION ALL SELECT kind, verdict, pattern, d2 + CAST(10 + high % 90 AS INTEGER), NULL FROM days2),
+keys AS (
+  SELECT page_id, url, fetched_on, 'host' AS kind, host AS pattern FROM page WHERE host <> ''
+  UNION ALL SELECT page_id, url, fetched_on, 'domain', array_to_string(string_split(host, '.')[i:], '.')
+    FROM page, LATERAL (SELECT unnest(range(1, len(string_split(host, '.')) + 1)) AS i) WHERE host <> ''
+  UNION ALL SELECT page_id, url, fetched_on, 'prefix', array_to_string(list_concat([host], list_slice(steps, 1, i)), '/')
+    FROM page, LATERAL (SELECT unnest(range(0, len(steps) + 1)) AS i) WHERE host <> ''),
+met AS (
+  SELECT k.*, s.verdict, s.valid_from, row_number() OVER (PARTITION BY k.page_id, k.url ORDER BY length(k.pattern) DESC,
+    s.verdict DESC, s.valid_from DESC, k.kind DESC) AS place, count(*) OVER (PARTITION BY k.page_id, k.url) AS n_active
+  FROM keys k JOIN stays s ON k.kind = s.kind AND k.pattern = s.pattern
+    AND k.fetched_on >= s.valid_from AND (s.valid_to IS NULL OR k.fetched_on < s.valid_to))
+SELECT p.page_id, p.url, p.fetched_on, coalesce(m.n_active, 0) AS n_active, m.kind || 's' AS list, m.pattern,
+       m.valid_from AS listed_since, coalesce(m.verdict <> 'block', true) AS allowed
+FROM page p LEFT JOIN met m ON p.page_id = m.page_id AND p.url = m.url AND m.place = 1
+"""
+
+
+@query(OP4_SQL)
+def op4_url_list_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int"))
+    return judged(pages.withColumn("fetched_on", fetched), page_list_entries(pages))
+
+
+@query()
+def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op6_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = suffix_tree_scores(table(spark, sf_dir, "documents"), ~held_out("doc_id", 5))
@@ -58,6 +139,38 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out("doc_id", 3).alias("held_out"), "lang_pred", "score")
 
 
+TOOL_SCHEMAS = [
+    ("search", '{"type":"object","required":["query","limit"],"properties":{"query":{"type":"string","minLength":1},'
+               '"limit":{"type":"integer","minimum":1,"maximum":10},"after":{"type":"object"}},'
+               '"additionalProperties":false}'),
+    ("measure", '{"type":"object","required":["query","words"],"properties":{"query":{"type":"string"},'
+                '"words":{"type":"integer","minimum":5},"after":{"type":"object"}}}'),
+]
+
+
+def conversation_calls(turns: DataFrame) -> DataFrame:
+    """A tool call for every user turn; it needs the call of the turn half as far, if that was one."""
+    after = F.when(F.col("turn") >= 2, F.struct(F.concat_ws("-", "conv_id", F.floor(F.col("turn") / 2)).alias("ref")))
+    short = F.length("text") % 3
+    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    return turns.where("role = 'user'").select(
+        "conv_id", F.concat_ws("-", "conv_id", "turn").alias("call_id"), F.col("turn").alias("position"),
+        F.when(short == 0, "search").when(short == 1, "measure").otherwise("lookup").alias("name"),
+        F.when(short == 1, F.to_json(F.struct(words.alias("words"), F.col("text").alias("query"), after.alias("after"))))
+        .otherwise(F.to_json(F.struct(F.col("text").alias("query"), (F.col("turn") % 7).alias("limit"),
+                                      after.alias("after")))).alias("arguments"))
+
+
+@query()
+def op9_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    results = turns.where("role = 'assistant'").select(
+        "conv_id", F.concat_ws("-", "conv_id", F.col("turn") - 1).alias("call_id"), F.col("turn").alias("position"),
+        F.col("text").alias("content"))
+    schemas = spark.createDataFrame(TOOL_SCHEMAS, "name string, schema string")
+    return link_tool_calls(conversation_calls(turns), results, schemas)
+
+
 @query()
 def op10_prob_minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = near_duplicate_classes(table(spark, sf_dir, "documents"))

@@ -20,7 +20,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetloom.session import checkpointed
@@ -38,21 +38,18 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
     asked = calls.select(*_KEY, "position", "name", "arguments").distinct()
     first = asked.where("call_id IS NOT NULL").groupBy(*_KEY).agg(F.min(F.struct(
         "position", "name", "arguments")).alias("first"))
-    asked = asked.join(first, _matching(asked, first), "left").select(
-        *[asked[c] for c in asked.columns],
-        F.coalesce(F.struct(asked["position"], asked["name"], asked["arguments"]) == F.col("first"),
-                   F.lit(True)).alias("is_first"))
+    same = F.struct("position", "name", "arguments") == F.col("first")
+    asked = _matched(asked, first, "left").withColumn("is_first", F.coalesce(same, F.lit(True))).drop("first")
     asked = checkpointed(asked)
     levels = _levels(asked.where("is_first AND call_id IS NOT NULL"))
     answers = results.select(*_KEY, "position", "content").distinct()
     answered = answers.where("call_id IS NOT NULL").groupBy(*_KEY).agg(
         F.min(F.struct("position", "content")).alias("answer"), F.count(F.lit(1)).alias("n_results"))
-    whole = asked.join(answered, _matching(asked, answered), "left").select(
-        *[asked[c] for c in asked.columns], "answer.content", F.coalesce("n_results", F.lit(0)).alias("n_results"))
-    whole = whole.join(levels, _matching(whole, levels), "left").select(
-        *[whole[c] for c in whole.columns], "level").join(schemas.select("name", "schema"), "name", "left")
+    whole = _matched(asked, answered, "left").withColumns({
+        "content": F.col("answer.content"), "n_results": F.coalesce("n_results", F.lit(0))}).drop("answer")
+    whole = _matched(whole, levels, "left").join(schemas.select("name", "schema"), "name", "left")
     known = first.select(*_KEY)
-    orphans = answers.join(known, _matching(answers, known), "left_anti").select(
+    orphans = _matched(answers, known, "left_anti").select(
         *_KEY, "position", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"),
         F.lit(None).cast("boolean").alias("is_first"), "content", F.lit(1).cast("long").alias("n_results"),
         F.lit(None).cast("int").alias("level"), F.lit(None).cast("string").alias("schema"))
@@ -62,8 +59,11 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
                             f"{kinds['position']}, level int, status string, n_results long, problems string, record string")
 
 
-def _matching(left: DataFrame, right: DataFrame):
-    return left["conv_id"].eqNullSafe(right["conv_id"]) & (left["call_id"] == right["call_id"])
+def _matched(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on conversation and identifier; null conversations are equal, null identifiers match nothing."""
+    right = right.withColumnsRenamed({"conv_id": "_conv", "call_id": "_call"})
+    joined = left.join(right, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("call_id") == F.col("_call")), how)
+    return joined.drop("_conv", "_call")
 
 
 def _levels(calls: DataFrame) -> DataFrame:
@@ -77,12 +77,12 @@ def _levels(calls: DataFrame) -> DataFrame:
     done, level = None, 0
     while True:
         blocked = waits.select(*_KEY).distinct()
-        ready = waiting.join(blocked, _matching(waiting, blocked), "left_anti").withColumn("level", F.lit(level))
+        ready = _matched(waiting, blocked, "left_anti").withColumn("level", F.lit(level))
         done = ready if done is None else done.unionByName(ready)
         left = waits.count()
         if not left:
             return done
-        waiting = checkpointed(waiting.join(blocked, _matching(waiting, blocked), "left_semi"))
+        waiting = checkpointed(_matched(waiting, blocked, "left_semi"))
         settled = ready.select(F.col("conv_id").alias("c"), F.col("call_id").alias("settled"))
         waits = checkpointed(waits.join(settled, F.col("conv_id").eqNullSafe(F.col("c")) & (
             F.col("needs") == F.col("settled")), "left_anti"))
