@@ -19,8 +19,8 @@ ORACLE_SQL = None
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are written in a language; texts that are null or have no letter go."""
     predicted = predict_language(docs, docs.where(~held_out("doc_id", 3))).where("lang_pred != 'und'")
-    return docs.where(F.col("text").rlike(r"\p{L}")).join(
-        predicted.select("doc_id").distinct(), F.col("doc_id").eqNullSafe(predicted["doc_id"]), "left_semi")
+    known = predicted.select(F.col("doc_id").alias("known")).distinct()
+    return docs.where(F.col("text").rlike(r"\p{L}")).join(known, F.col("doc_id").eqNullSafe(F.col("known")), "left_semi")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +44,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = contaminated(docs, items).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    found = contaminated(docs, items).select(F.col("doc_id").alias("found")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("found")), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
