@@ -113,19 +113,21 @@ def column_schema(spark: SparkSession, schema: T.StructType,
     return spark.createDataFrame(rows, "position int, name string, type string, description string")
 
 
-def row_hash(*columns: str) -> Column:
-    """60 bits of the MD5 of the row text; null and empty text differ."""
+def row_hash(*columns: str) -> tuple[Column, Column]:
+    """Both halves of the MD5 of the row text; null and empty text differ."""
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-    return F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cells)), 1, 15), 16, 10).cast("bigint")
+    digest = F.md5(F.concat_ws("\x1f", *cells))
+    high, low = (F.conv(F.substring(digest, at, 16), 16, -10).cast("bigint") for at in (1, 17))
+    return high, low
 
 
 def fingerprint(df: DataFrame, *by: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Order-free content hash: row count, sum and xor of the row hashes, per group of ``by``."""
-    h = row_hash(*(columns or df.columns))
+    """Order-free content hash: row count, sums and xors of both halves of the row hashes, per group of ``by``."""
+    halves = row_hash(*(columns or df.columns))
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_sum"),
-        F.bit_xor(h).alias("hash_xor"),
+        F.concat_ws(":", *[F.sum(h.cast("decimal(38,0)")).cast("string") for h in halves]).alias("hash_sum"),
+        F.concat_ws(":", *[F.bit_xor(h).cast("string") for h in halves]).alias("hash_xor"),
     )
 
 
@@ -137,20 +139,22 @@ def dataset_metadata(df: DataFrame, split: str | None = None, columns: Sequence[
     """
     names = list(columns or df.columns)
     cells = F.concat_ws("", *[F.col(c).cast("string") for c in names])
-    h = row_hash(*names)
+    high, low = row_hash(*names)
     keyed = df.select(
         (F.col(split) if split else F.lit("all")).cast("string").alias("split"),
-        h.alias("_h"), F.octet_length(cells).alias("_bytes"), F.col("_metadata.file_path").alias("_file"),
+        high.alias("_h"), low.alias("_l"), F.octet_length(cells).alias("_bytes"), F.col("_metadata.file_path").alias("_file"),
     )
     # Pre-aggregate per file first: the distinct file count then sees one row per file.
     per_file = keyed.groupBy("split", "_file").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_bytes").alias("_bytes"),
-        F.sum(F.col("_h").cast("decimal(38,0)")).alias("_sum"), F.bit_xor("_h").alias("_xor"),
+        *[F.sum(F.col(x).cast("decimal(38,0)")).alias(f"_sum{x}") for x in ("_h", "_l")],
+        *[F.bit_xor(x).alias(f"_xor{x}") for x in ("_h", "_l")],
     )
     return per_file.groupBy("split").agg(
         F.sum("_n").alias("num_rows"), F.count(F.lit(1)).alias("num_shards"),
         F.round(F.sum("_bytes") / (1024 * 1024), 4).alias("estimated_mb"),
-        F.sum("_sum").cast("string").alias("hash_sum"), F.expr("bit_xor(_xor)").alias("hash_xor"),
+        F.concat_ws(":", *[F.sum(f"_sum{x}").cast("string") for x in ("_h", "_l")]).alias("hash_sum"),
+        F.concat_ws(":", *[F.bit_xor(f"_xor{x}").cast("string") for x in ("_h", "_l")]).alias("hash_xor"),
     ).select(
         "*", F.lit(",".join(names)).alias("features"), F.lit("batch" if not df.isStreaming else "stream").alias(
             "dataset_type"), F.lit(df.isStreaming).alias("streaming"),

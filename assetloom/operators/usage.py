@@ -30,19 +30,14 @@ def usage_totals(log: DataFrame, by: Sequence[str], final: str | None = None) ->
 
 
 def assemble_text(df: DataFrame, keys: Sequence[str], order: str, text: str, separator: str = "|",
-                  max_items: int = 1000, head: str = "", tail: str = "") -> DataFrame:
+                  max_items: int | None = None, head: str = "", tail: str = "") -> DataFrame:
     """The texts of each group joined in order inside a prompt, with their number.
 
-    A group of more than ``max_items`` texts comes out as several numbered parts, so no task builds
-    an unbounded text and none is cut off.
+    With ``max_items`` a longer group comes out as several numbered parts, which bounds the text of a task.
     """
-    placed = position_in_group(df, keys, order, "_pos").withColumn(
-        "part", F.floor(F.col("_pos") / max_items).cast("int")
-    ).withColumn("_text", F.col(text))
-    joined = placed.groupBy(*keys, "part").agg(
-        F.count("_text").alias("n_items"),
-        F.expr(f"listagg(_text, '{separator}') WITHIN GROUP (ORDER BY _pos)").alias("_joined"),
-    )
-    return joined.select(
-        *keys, "part", "n_items", F.concat(F.lit(head), F.coalesce("_joined", F.lit("")), F.lit(tail)).alias("prompt")
-    )
+    placed = position_in_group(df, keys, order, "_pos").withColumn("_text", F.col(text))
+    part = F.floor(F.col("_pos") / max_items) if max_items else F.lit(0)
+    joined = placed.withColumn("part", part.cast("int")).groupBy(*keys, "part").agg(
+        F.count("_text").alias("n_items"), F.sort_array(F.collect_list(F.struct("_pos", "_text"))).alias("_texts"))
+    whole = F.array_join(F.transform("_texts", lambda x: x["_text"]), separator)
+    return joined.select(*keys, "part", "n_items", F.concat(F.lit(head), whole, F.lit(tail)).alias("prompt"))

@@ -342,12 +342,16 @@ def sample_preview(spark, sf):
     return profiles.preview(table(spark, sf, "part").select("p_partkey", "p_name", "p_size"), "p_partkey")
 
 
-_HASH = """('0x' || substr(md5(concat_ws(chr(31), doc_id::VARCHAR, md5(text), lang, source, n_chars::VARCHAR)), 1, 15)
-    )::BIGINT"""
+_ROW = "md5(concat_ws(chr(31), doc_id::VARCHAR, md5(text), lang, source, n_chars::VARCHAR))"
+_HALVES = [f"('0x' || substr({_ROW}, {at}, 16))::UBIGINT" for at in (1, 17)]
+_SIGNED = [f"(CASE WHEN {h} >= 9223372036854775808 THEN {h}::HUGEINT - 18446744073709551616 ELSE {h}::HUGEINT END)"
+           for h in _HALVES]
+_HASH_SUM = " || ':' || ".join(f"sum({h})::VARCHAR" for h in _SIGNED)
+_HASH_XOR = " || ':' || ".join(f"bit_xor({h}::BIGINT)::VARCHAR" for h in _SIGNED)
 
 
-@query(f"""SELECT lang AS split, count(*) AS num_rows, sum({_HASH}::HUGEINT)::VARCHAR AS hash_sum,
-                  bit_xor({_HASH}) AS hash_xor, 'doc_id,text,lang,source,n_chars' AS features, false AS streaming,
+@query(f"""SELECT lang AS split, count(*) AS num_rows, {_HASH_SUM} AS hash_sum,
+                  {_HASH_XOR} AS hash_xor, 'doc_id,text,lang,source,n_chars' AS features, false AS streaming,
                   'materialized' AS execution_mode, 'main' AS revision FROM documents GROUP BY lang""")
 def dataset_metadata(spark, sf):
     docs = table(spark, sf, "documents").withColumn("text", F.md5("text"))
@@ -356,7 +360,7 @@ def dataset_metadata(spark, sf):
         "split", "num_rows", "hash_sum", "hash_xor", "features", "streaming", "execution_mode", "revision")
 
 
-@query(f"""SELECT source, count(*) AS n_rows, sum({_HASH}::HUGEINT)::VARCHAR AS hash_sum, bit_xor({_HASH}) AS hash_xor
+@query(f"""SELECT source, count(*) AS n_rows, {_HASH_SUM} AS hash_sum, {_HASH_XOR} AS hash_xor
            FROM documents GROUP BY source""")
 def content_fingerprint(spark, sf):
     docs = table(spark, sf, "documents").withColumn("text", F.md5("text"))

@@ -618,6 +618,33 @@ def publish_and_swap(spark, sf):
     return alias.read().select("doc_id", "lang")
 
 
+@query("SELECT doc_id, lang, 'docs' AS alias FROM documents WHERE n_chars > 1000 "
+       "UNION ALL SELECT doc_id, lang, 'docs-fr' FROM documents WHERE lang = 'fr'")
+def retention_two_aliases(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    root = scratch(spark, "builds")
+    both = [publish.Published(spark, root, f"{name}@{root[-8:]}") for name in ("docs", "docs-fr")]
+    both[1].publish(docs.where("lang = 'fr'"), strategy="run_id", run_id="a")
+    for run, rows in (("a", docs), ("b", docs.where("n_chars > 1000"))):
+        both[0].publish(rows, strategy="run_id", run_id=run, keep_last=1)
+    parts = [p.read().select("doc_id", "lang", F.lit(p.alias.split("@")[0]).alias("alias")) for p in both]
+    return parts[0].unionByName(parts[1])
+
+
+_KEYED = "CASE WHEN lang = 'fr' THEN '' WHEN lang = 'de' THEN NULL ELSE lang END"
+
+
+@query(f"""SELECT doc_id, {_KEYED} AS k FROM documents WHERE lang IS NULL OR lang <> 'fr'
+           UNION ALL SELECT -doc_id, '' FROM documents WHERE lang = 'fr' AND n_chars > 1000""")
+def empty_key_slice(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "n_chars", F.expr(_KEYED).alias("k"))
+    t = fresh(spark, "empty_key")
+    t.overwrite(docs, layout=[LayoutField("k")])
+    empty = [StaticDim("k", ("",))]
+    t.overwrite_slice(t.read(dims=empty).where("n_chars > 1000").withColumn("doc_id", -F.col("doc_id")), empty)
+    return t.read().select("doc_id", "k")
+
+
 @query("""WITH b AS (SELECT DISTINCT event_type AS alias, event_type || '-' || strftime(ts, '%Y%m%d') AS name,
                             strftime(ts, '%d') = '03' AS current FROM events),
           r AS (SELECT *, row_number() OVER (PARTITION BY alias, current ORDER BY name DESC) AS n FROM b)

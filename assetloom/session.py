@@ -43,17 +43,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-SMALL_WRITE_BYTES = 256 * 1024 * 1024
-
-
 def spread_for_write(df: DataFrame, *columns: str) -> DataFrame:
     """Bring the rows of an output partition together before a partitioned write.
 
-    Data Catalyst knows to be small is spread over the tasks by partition value, so its many little
-    files are not written one after the other by one task. Anything else is rebalanced: adaptive
-    execution then splits partition values that hold too much and joins those that hold little.
+    Adaptive execution splits partition values that hold too much and joins those that hold little.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size < SMALL_WRITE_BYTES:
-        return df.repartition(shuffle_partitions(df.sparkSession), *columns)
     return df.hint("rebalance", *[F.col(c) for c in columns])

@@ -127,6 +127,8 @@ def test_usage_counts_nulls_as_zero(spark):
 
 def test_assembled_reviews_are_whole(spark):
     df = spark.range(2500).select(F.lit("book").alias("k"), "id", F.concat(F.lit("r"), "id").alias("t"))
+    whole = usage.assemble_text(df, ["k"], "id", "t", separator="'").collect()
+    assert [r.prompt for r in whole] == ["'".join(f"r{i}" for i in range(2500))]
     out = usage.assemble_text(df, ["k"], "id", "t", max_items=1000, head="<", tail=">").orderBy("part").collect()
     assert [r.n_items for r in out] == [1000, 1000, 500]
     assert "|".join(r.prompt[1:-1] for r in out) == "|".join(f"r{i}" for i in range(2500))
@@ -156,15 +158,26 @@ def test_builds_swap_and_retention(spark, root):
     with pytest.raises(FileNotFoundError):
         alias.read()
     names = [alias.publish(spark.range(n), strategy="timestamp", keep_last=2, now=dt.datetime(2024, 1, n)) for n in (1, 2, 3)]
-    assert names[0] == "docs-20240101t000000z000000"
+    assert names == sorted(names) and "2024-01-01" in names[0]
     assert alias.builds() == names[1:] and alias.read().count() == 3
     old = alias.publish(spark.range(9), strategy="timestamp", keep_last=1, now=dt.datetime(2023, 1, 1))
     assert alias.builds() == [old] and alias.read().count() == 9  # the current build always stays
     alias.publish(spark.range(4), partition_key="EU|2024")
     assert alias.read(partition_key="EU|2024").count() == 4
-    assert publish.build_name("x", "none") == "x" and publish.build_name("x", "run_id", run_id="a-b") == "x-ab"
-    with pytest.raises(ValueError):
-        publish.build_name("x", "partition")
+    assert publish.build_suffix(spark, "run_id", run_id="a-b") == "a-b"
+    assert publish.build_suffix(spark, "none") == publish.build_suffix(spark, "none")
+    for wrong in ("partition", "other"):
+        with pytest.raises(ValueError):
+            publish.build_suffix(spark, wrong)
+
+
+def test_retention_leaves_other_aliases_alone(spark, root):
+    names = ("docs", "docs-fr", "docs_fr", "docs`x")
+    for n, name in enumerate(names):
+        publish.Published(spark, root, name).publish(spark.range(n + 1), strategy="run_id", run_id="1")
+    publish.Published(spark, root, "docs").publish(spark.range(9), keep_last=1, strategy="run_id", run_id="2")
+    assert [publish.Published(spark, root, name).read().count() for name in names] == [9, 2, 3, 4]
+    assert [publish.Published(spark, root, name).builds() for name in names] == [["2"], ["1"], ["1"], ["1"]]
 
 
 def test_published_dataset_card(spark, root):
