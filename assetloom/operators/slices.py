@@ -124,8 +124,6 @@ def coalesce_windows(df: DataFrame, keys: Sequence[str], start: str, end: str) -
 # The text form of a partition value per time transform.
 TIME_FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd", "month": "yyyy-MM"}
 PYTHON_FORMATS = {"hour": "%Y-%m-%d-%H", "day": "%Y-%m-%d", "month": "%Y-%m"}
-# Schedule names and the transform each partitions by.
-SCHEDULES = {"hourly": "hour", "daily": "day", "weekly": "day", "monthly": "month", "static": "identity"}
 
 
 def window_transform(start: dt.datetime, end: dt.datetime) -> str:
@@ -183,9 +181,19 @@ def check_layout(layout: Iterable[LayoutField], schema: T.StructType) -> None:
             raise ValueError(f"layout field {f.name!r} clashes with a data column")
 
 
+#: Stands before the empty text, which Spark would store like null, and before texts that begin with it.
+_MARK = "\x02"
+
+
+def encoded_key(key: str | None) -> str | None:
+    """The partition value of a text key; null, empty and other texts stay apart."""
+    return _MARK + key if key is not None and (not key or key.startswith(_MARK)) else key
+
+
 def layout_value(f: LayoutField) -> Column:
     if f.transform == "identity":
-        return F.col(f.column)
+        c = F.col(f.column)
+        return F.when((c == "") | c.startswith(_MARK), F.concat(F.lit(_MARK), c)).otherwise(c)
     return F.date_format(F.col(f.column), TIME_FORMATS[f.transform])
 
 

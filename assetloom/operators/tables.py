@@ -29,6 +29,7 @@ from assetloom.operators.slices import (
     Slice,
     StaticDim,
     check_layout,
+    encoded_key,
     is_aligned,
     layout_diff,
     layout_of,
@@ -350,7 +351,7 @@ def _is_prunable(dim: Dim, f: LayoutField) -> bool:
 
 def _touched_spec(dim: Dim, f: LayoutField) -> dict:
     if isinstance(dim, StaticDim):
-        return {"columns": [f.name], "in": [[k] for k in dim.keys]}
+        return {"columns": [f.name], "in": [[encoded_key(k)] for k in dim.keys]}
     return {"columns": [f.name], "between": list(layout_range(dim, f.transform))}
 
 
@@ -380,15 +381,52 @@ def _replaced_predicate(spec) -> Column:
 
 
 def _live_predicate(commits: Sequence[Row]) -> Column:
-    """Rows still standing after the given commits, by ``_v`` and the layout columns."""
+    """Rows still standing after the given commits, by ``_v`` and the layout columns.
+
+    Only the last replacement of each key and window counts, so the filter grows with the partitions, not the commits.
+    """
     written = [r for r in commits if not r.missing]
     last_full = max((r.version for r in written if r.replaced_json == '"all"'), default=0)
     known = [r.version for r in written if r.version >= last_full]
     cond = (F.col("_v") >= last_full) & (F.col("_v") <= max(known))
     if len(known) != max(known) - last_full + 1:
         cond = cond & F.col("_v").isin(*known)
+    by_key: dict[tuple[str, ...], dict[str, int]] = {}
+    windows: dict[str, dict[tuple[str, str], int]] = {}
+    rest: dict[str, tuple[object, int]] = {}
     for r in written:
         spec = json.loads(r.replaced_json)
-        if r.version > last_full and spec:
-            cond = cond & ~((F.col("_v") < r.version) & F.coalesce(_replaced_predicate(spec), F.lit(False)))
-    return cond
+        spec = spec[0] if isinstance(spec, list) and len(spec) == 1 else spec
+        if r.version <= last_full or not spec:
+            continue
+        if isinstance(spec, dict) and "in" in spec:
+            by_key.setdefault(tuple(spec["columns"]), {}).update({_joined_key(k): r.version for k in spec["in"]})
+        elif isinstance(spec, dict):
+            windows.setdefault(spec["columns"][0], {})[tuple(spec["between"])] = r.version
+        else:
+            rest[json.dumps(spec)] = (spec, r.version)
+    v, conds = F.col("_v"), [cond]
+    for columns, latest in by_key.items():
+        since = F.map_from_arrays(F.lit(list(latest)), F.lit(list(latest.values())))
+        conds.append(v >= F.coalesce(F.try_element_at(since, _key_text(columns)), F.lit(0)))
+    for column, latest in windows.items():
+        lows, highs = (F.lit([w[i] for w in latest]) for i in (0, 1))
+        spans = F.arrays_zip(lows.alias("low"), highs.alias("high"), F.lit(list(latest.values())).alias("since"))
+        conds.append(~F.coalesce(F.exists(spans, lambda s: (v < s["since"]) & (F.col(column) >= s["low"]) & (
+            F.col(column) <= s["high"])), F.lit(False)))
+    conds += [~((v < version) & F.coalesce(_replaced_predicate(spec), F.lit(False))) for spec, version in rest.values()]
+    return _all_of(conds)
+
+
+def _joined_key(key: Sequence[str | None]) -> str:
+    return "\x01".join(_NULL_KEY if v is None else v for v in key)
+
+
+def _key_text(columns: Sequence[str]) -> Column:
+    return F.concat_ws("\x01", *[F.coalesce(F.col(c), F.lit(_NULL_KEY)) for c in columns])
+
+
+def _all_of(conds: list[Column]) -> Column:
+    """A balanced conjunction, so that its depth stays small."""
+    half = len(conds) // 2
+    return conds[0] if len(conds) == 1 else _all_of(conds[:half]) & _all_of(conds[half:])

@@ -245,6 +245,40 @@ def test_many_commits_read_as_a_model(spark):
     assert values(t.read()) == sorted(model, key=repr)
 
 
+def test_filter_does_not_grow_with_commits(spark):
+    import json
+    import random
+
+    from pyspark.sql import Row
+
+    from assetloom.operators.tables import _live_predicate
+
+    rng = random.Random(2)
+    commits, model = [], set()
+    for v in range(1500):
+        key, day = f"p{rng.randrange(30)}", rng.randrange(1, 28)
+        spec = [{"columns": ["part_k"], "in": [[key]]}, {"columns": ["part_d"], "between": [f"{day:02}", f"{day + 1:02}"]}][v % 2]
+        hit = (lambda r: r[1] == key) if v % 2 == 0 else (lambda r: f"{day:02}" <= r[2] <= f"{day + 1:02}")
+        model = {r for r in model if not hit(r)} | {(v, key, f"{day:02}")}
+        commits.append(Row(version=v, missing=False, generation=0, replaced_json=json.dumps("all" if v == 0 else spec)))
+    rows = frame(spark, sorted({(r.version, f"p{k}", f"{d:02}") for r in commits[-40:] for k in range(30) for d in (1, 9)}
+                               | model), "_v int, part_k string, part_d string")
+    cond = _live_predicate(commits)
+    kept = {tuple(r) for r in rows.where(cond).collect()}
+    assert model <= kept
+    assert len(str(rows.where(cond)._jdf.queryExecution().optimizedPlan().toString())) < 60_000
+
+
+def test_empty_null_and_marked_keys_stay_apart(spark, root):
+    t = AssetTable(spark, root, "keys")
+    rows = [("", 1), (None, 2), ("\x02", 3), ("a", 4)]
+    t.overwrite(frame(spark, rows, "k string, v int"), layout=(LayoutField("k"),))
+    assert values(t.read(dims=[StaticDim("k", ("",))])) == [("", 1)]
+    t.overwrite_slice(frame(spark, [("", 10)], "k string, v int"), [StaticDim("k", ("",))])
+    t.overwrite_partitions(frame(spark, [("\x02", 30)], "k string, v int"))
+    assert values(t.read()) == sorted([("", 10), (None, 2), ("\x02", 30), ("a", 4)], key=repr)
+
+
 def test_slice_read_prunes_files_and_columns(spark, root):
     t = AssetTable(spark, root, "plan")
     t.overwrite(minutes(spark), layout=(LayoutField("timestamp", "hour"),))
