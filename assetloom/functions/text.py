@@ -71,3 +71,10 @@ def parse_typed_key(c: Column) -> Column:
         F.raise_error(F.concat(F.lit("partition key is not <type>:<value>: "), c)).cast("array<string>")
     )
     return F.struct(checked[0].alias("kind"), checked[1].alias("value"))
+
+
+def content_key(*columns: Column) -> Column:
+    """A digest to group or join long texts by; null is a value of its own."""
+    cells = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-"))
+             for c in columns]
+    return F.sha2(F.concat(*cells), 256)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetloom.functions.literals import time_literal
+from assetloom.functions.text import content_key
 
 CHECKS = "check_name string, column_name string, severity string, n_failed bigint, passed boolean"
 
@@ -90,13 +91,19 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
         out = rows if out is None else out.unionByName(rows)
     for c in contract.columns:
         if c.unique and c.name in df.columns:
-            groups = df.where(F.col(c.name).isNotNull()).groupBy(c.name).agg(F.count(F.lit(1)).alias("n"))
+            groups = df.where(F.col(c.name).isNotNull()).groupBy(_unique_key(df, c.name)).agg(
+                F.count(F.lit(1)).alias("n"))
             counts = groups.where("n > 1").agg(F.sum("n").alias("c0"))
             rows = _unpack(counts, [("unique", c.name, "ERROR")])
             out = rows if out is None else out.unionByName(rows)
     return out if out is not None else spark.createDataFrame([], CHECKS)
 
 
+def _unique_key(df: DataFrame, name: str) -> Column:
+    """The column itself, or the digest of a text."""
+    return content_key(F.col(name)) if isinstance(df.schema[name].dataType, T.StringType) else F.col(name)
+
+
 def violating_rows(df: DataFrame, contract: Contract) -> DataFrame:
     """Rows that break a rule, with the names of the broken rules in ``violations``."""
     rules = contract.row_rules(df.columns)
@@ -109,13 +116,13 @@ def violating_rows(df: DataFrame, contract: Contract) -> DataFrame:
     for c in contract.columns:
         if c.unique and c.name in df.columns:
             repeated = (
-                df.where(F.col(c.name).isNotNull()).groupBy(c.name).agg(F.count(F.lit(1)).alias("_n"))
-                .where("_n > 1").withColumn("_n", F.lit(True))
+                df.where(F.col(c.name).isNotNull()).groupBy(_unique_key(df, c.name).alias("_key")).agg(
+                    F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("_n", F.lit(True))
             )
             label = F.array(F.lit(f"unique:{c.name}"))
-            out = out.join(repeated, c.name, "left").withColumn(
+            out = out.withColumn("_key", _unique_key(df, c.name)).join(repeated, "_key", "left").withColumn(
                 "violations", F.when(F.col("_n"), F.concat("violations", label)).otherwise(F.col("violations"))
-            ).drop("_n")
+            ).drop("_n", "_key")
     return out.select(*df.columns, "violations").where(F.size("violations") > 0)
 
 

@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from assetloom.functions.text import has_words, normal_case, one_line
+from assetloom.functions.text import content_key, has_words, one_line
 from assetloom.operators.profiles import sample_hash
 from assetloom.session import spread_for_write
 
@@ -18,8 +19,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: str, count: str | N
     A grouped minimum instead of a window: copies collapse before the shuffle, so a key that holds
     most of the rows costs one row per task. ``count`` names a column for the number of copies.
     """
-    rest = [c for c in df.columns if c not in keys and c != order]
     counted = [F.count(F.lit(1)).alias(count)] if count else []
+    if any(isinstance(df.schema[k].dataType, T.StringType) for k in keys):  # texts travel as digests, not as keys
+        first = F.min(F.struct(order, *[c for c in df.columns if c != order])).alias("_first")
+        rows = df.groupBy(content_key(*[F.col(k) for k in keys]).alias("_key")).agg(first, *counted)
+        return rows.select(*[F.col(f"_first.{c}").alias(c) for c in df.columns], *([count] if count else []))
+    rest = [c for c in df.columns if c not in keys and c != order]
     if not rest:  # a plain number as buffer lets Spark aggregate by hash instead of by sort
         return df.groupBy(*keys).agg(F.min(order).alias(order), *counted).select(
             *df.columns, *([count] if count else []))
@@ -33,10 +38,6 @@ def long_enough(df: DataFrame, columns: Sequence[str], min_words: int) -> DataFr
     return df.where(has_words(min_words, *[F.col(c) for c in columns]))
 
 
-def normalise_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: normal_case(F.col(c)) for c in columns})
-
-
 def normalise_text(df: DataFrame, text: str, url: str, default_url: str = "unknown") -> DataFrame:
     """Text on one line, its length, and the url or a default (also where the column is missing)."""
     source = F.coalesce(F.col(url), F.lit(default_url)) if url in df.columns else F.lit(default_url)

@@ -13,30 +13,27 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from assetloom.functions.literals import literal
 from assetloom.session import shuffle_partitions
 
-_MAX_RANGES = 1024
-_BOUND_ROWS = 2_000_000
+ROWS_PER_RANGE = 1_000_000
 
 
-def _bound_share(df: DataFrame) -> float:
-    """Share of the rows to look at for the bounds, so that the tasks' quantile sketches stay small
-    together. The bounds only balance the work; every row is in the result whatever they are."""
-    rows = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) / (16 * len(df.columns))
-    return min(1.0, max(1e-4, _BOUND_ROWS / max(rows, 1.0)))
+def _ranges_for(df: DataFrame) -> int:
+    """As many ranges as the rows need, and no fewer than the tasks."""
+    return max(2, shuffle_partitions(df.sparkSession), -(-df.count() // ROWS_PER_RANGE))
 
 
 def _range_of(df: DataFrame, order: str, ranges: int) -> Column:
     """Number of quantile bounds at or below the order value (two short array scans per row)."""
     dtype = df.schema[order].dataType
+    if not isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"rows are ordered by a number, date or time, not by {order!r} of type {dtype.simpleString()}")
     shares = [i / ranges for i in range(1, ranges)]
-    values, share = df.select(order), _bound_share(df)
-    if share < 1:
-        values = values.sample(share, seed=7)
-    found = values.agg(F.approx_percentile(order, shares, ranges * 8).alias("b")).first().b or []
+    found = df.agg(F.approx_percentile(order, shares, ranges * 8).alias("b")).first().b or []
     bounds = sorted(set(found))
     if not bounds:
         return F.lit(0)
@@ -62,7 +59,7 @@ def running_totals(
 
     ``before=True`` leaves the row itself out. ``order`` is numeric, a date or a timestamp.
     """
-    ranges = ranges or min(_MAX_RANGES, max(2, shuffle_partitions(df.sparkSession)))
+    ranges = ranges or _ranges_for(df)
     work = df.withColumns({
         "_range": _range_of(df, order, ranges),
         "_first": F.lit(1),

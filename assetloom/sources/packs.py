@@ -30,12 +30,15 @@ def run_pack(spark: SparkSession, queries: Mapping[str, str], views: Mapping[str
             df.createOrReplaceTempView(view)
         out[name] = spark.sql(text)
         if root is not None:
-            AssetTable(spark, root, name).overwrite(out[name], properties={"query": text})
+            stored = AssetTable(spark, root, name)
+            stored.overwrite(out[name], properties={"query": text})
+            out[name] = stored.read(allow_missing=True, schema=out[name].schema)
     return out
 
 
 # --- datasets by config, revision and split ------------------------------------------------------
 
+# What a key may narrow a dataset by.
 KEY_KINDS = ("revision", "config", "date")
 
 
@@ -44,6 +47,8 @@ def parse_dataset_key(key: str) -> tuple[str, str]:
     kind, colon, value = key.partition(":")
     if not colon:
         raise ValueError(f"partition key {key!r} is not <type>:<value>")
+    if kind not in KEY_KINDS:
+        raise ValueError(f"partition key {key!r} names none of {', '.join(KEY_KINDS)}")
     return kind, value
 
 
@@ -59,6 +64,8 @@ def read_dataset(spark: SparkSession, path: str, key: str | None = None, split:
         kind, value = parse_dataset_key(key)
         wanted[kind] = value
     df = spark.read.option("basePath", path).parquet(path)
+    if "date" in wanted and "date" not in df.columns:
+        raise ValueError(f"the dataset has no dates to narrow by {key!r}")
     for column, value in wanted.items():
         if value is not None:
             df = df.where(F.col(column) == value)

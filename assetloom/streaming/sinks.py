@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assetloom.operators.tables import AssetTable
 from assetloom.operators.upsert import UpsertOptions
+from assetloom.session import checkpointed
 
 
 def table_sink(table: AssetTable, query_id: str, mode: str = "append", keys: Sequence[str] = (),
@@ -20,6 +21,7 @@ def table_sink(table: AssetTable, query_id: str, mode: str = "append", keys: Seq
         tags = {"query_id": query_id, "batch_id": str(batch_id)}
         if table.has_tag(**tags):
             return
+        batch = checkpointed(batch)  # one evaluation, however often the write reads it
         options = {"properties": tags}
         head = table.last_version()
         if head is None and layout is not None:

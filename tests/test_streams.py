@@ -46,6 +46,23 @@ def test_replayed_batches_are_skipped(spark, root):
     assert values(u.read()) == [("a", 5), ("b", 2), ("c", 7)]
 
 
+@pytest.mark.parametrize("mode", ["append", "upsert"])
+def test_a_batch_is_evaluated_once(spark, root, mode):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    t = AssetTable(spark, root, "t")
+    write = sinks.table_sink(t, "q", mode, ["k"], "v")
+    for n in (1, 2):
+        df = spark.createDataFrame([("a", n), ("b", n)], "k string, v int").mapInPandas(counted, "k string, v int")
+        write(df, n)
+        assert seen.value == 2 * n
+
+
 @pytest.mark.parametrize("mode", ["overwrite_slice", "overwrite_partitions"])
 def test_slice_sinks(spark, root, mode):
     rows = [(dt.datetime(2024, 1, 1), 1), (dt.datetime(2024, 1, 2), 2)]
