@@ -28,26 +28,27 @@ LOG_SQL = """log AS (
   FROM (SELECT *, json_extract_string(props, '$.k')::BIGINT AS k FROM events))"""
 
 
+_ONE_KIND = {"signup": "STEP_START", "view": "ASSET_MATERIALIZATION_PLANNED", "purchase": "ASSET_MATERIALIZATION"}
+_BY_NUMBER = {
+    "error": ("RUN_FAILURE", "STEP_FAILURE", "ASSET_FAILED_TO_MATERIALIZE", "RUN_CANCELED", "ASSET_CHECK_EVALUATION"),
+    "click": ("RUN_START", "RUN_SUCCESS", "STEP_SUCCESS", "ASSET_OBSERVATION", "ASSET_CHECK_EVALUATION_PLANNED"),
+}
+
+
 def run_log(events: DataFrame) -> DataFrame:
     """The log; also works on a stream of events."""
     k = F.get_json_object("props", "$.k").cast("bigint")
-    error = (
-        F.when(k % 5 == 0, "RUN_FAILURE").when(k % 5 == 1, "STEP_FAILURE")
-        .when(k % 5 == 2, "ASSET_FAILED_TO_MATERIALIZE").when(k % 5 == 3, "RUN_CANCELED")
-        .otherwise("ASSET_CHECK_EVALUATION"))
-    click = (
-        F.when(k % 5 == 0, "RUN_START").when(k % 5 == 1, "RUN_SUCCESS").when(k % 5 == 2, "STEP_SUCCESS")
-        .when(k % 5 == 3, "ASSET_OBSERVATION").otherwise("ASSET_CHECK_EVALUATION_PLANNED"))
-    kind = F.col("event_type")
+    kind = F.when(F.col("event_type").isin(*_ONE_KIND, "error"), F.col("event_type")).otherwise("click")
+    named = {**_ONE_KIND, **{f"{name}{i}": x for name, row in _BY_NUMBER.items() for i, x in enumerate(row)}}
+    lookup = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+    number = F.when(kind.isin(*_BY_NUMBER), F.concat(kind, F.least(F.coalesce(k % 5, F.lit(4)), F.lit(4)))).otherwise(kind)
     return events.select(
         "event_id", "ts", F.concat(F.lit("run-"), "user_id").alias("run_id"),
         F.concat(F.lit("job"), F.col("user_id") % 7).alias("job_name"),
         F.concat(F.lit("step"), k % 5).alias("step_key"), F.concat(F.lit("asset"), k % 11).alias("asset"),
         "user_id", "value", k.alias("k"),
         F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd")).otherwise("eu").alias("partition_key"),
-        F.when(kind == "signup", "STEP_START").when(kind == "view", "ASSET_MATERIALIZATION_PLANNED")
-        .when(kind == "purchase", "ASSET_MATERIALIZATION").when(kind == "error", error).otherwise(click)
-        .alias("event_type"))
+        F.element_at(lookup, number).alias("event_type"))
 
 
 ACTIONS_SQL = """actions AS (
