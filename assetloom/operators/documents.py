@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,16 +33,19 @@ def batched(actions: DataFrame, max_docs: int = 500, max_bytes: int = 100 * 1024
         number, docs, size = 0, 0, 0
         for batch in batches:
             sizes = np.asarray(batch.column("_size").fill_null(0), dtype=np.int64)
-            part = batch.column("_part")
-            numbers = []
-            for n in sizes.tolist():
-                if docs and (docs >= max_docs or size + n > max_bytes):
+            upto = np.concatenate([[0], np.cumsum(sizes)])
+            numbers, at = np.empty(len(sizes), np.int64), 0
+            while at < len(sizes):  # once for each batch cut, not for each row
+                fits = int(np.searchsorted(upto, upto[at] + max_bytes - size, "right")) - 1
+                end = min(max(fits, at + (docs == 0)), at + max_docs - docs, len(sizes))
+                numbers[at:end] = number
+                docs, size = docs + end - at, size + int(upto[end] - upto[at])
+                if end < len(sizes):
                     number, docs, size = number + 1, 0, 0
-                docs, size = docs + 1, size + n
-                numbers.append(number)
-            keep = [batch.column(name) for name in names]
-            ids = pa.array([f"{p}-{n}" for p, n in zip(part.to_pylist(), numbers)], pa.string())
-            yield pa.RecordBatch.from_arrays(keep + [ids], names=out_names)
+                at = end
+            part = batch.column("_part")
+            ids = pc.binary_join_element_wise(part.cast(pa.string()), pa.array(numbers).cast(pa.string()), "-")
+            yield pa.RecordBatch.from_arrays([batch.column(name) for name in names] + [ids], names=out_names)
 
     return tagged.mapInArrow(run, schema)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs
@@ -193,9 +194,19 @@ def new_files_since(spark, sf):
     return files.new_files(df, dt.datetime(2024, 1, 1, 1), "*.HTML").select("page_id", "path")
 
 
-@query()
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+          "pages", "benchmark", "labels", "conversations")
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS name, '.parquet' AS extension, '{t}' AS stem, true AS has_bytes, count(*) AS n_rows FROM {t}"
+    for t in TABLES))
 def file_manifest(spark, sf):
-    return files.manifest(spark, sf, extension=".PARQUET").select("name", "extension", "stem", "length")
+    """The files of the tables, each with the number of rows its table holds."""
+    listed = files.manifest(spark, sf, extension=".PARQUET")
+    counts = [table(spark, sf, t).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("stem", F.lit(t)) for t in TABLES]
+    return listed.join(reduce(lambda a, b: a.unionByName(b), counts), "stem").select(
+        "name", "extension", "stem", (F.col("length") > 0).alias("has_bytes"), "n_rows")
 
 
 @query(f"""WITH {_PAGE_FILES},
@@ -600,12 +611,16 @@ def bulk_documents(spark, sf):
     return documents.to_bulk(docs, "docs", "doc_id")
 
 
-@query()
+@query("SELECT 0::BIGINT AS n_over, count(*) AS n_docs, sum(strlen(text))::BIGINT AS text_bytes FROM documents")
 def bulk_batches(spark, sf):
+    """All documents in batches: none beyond the limits (but for one document alone), nothing lost."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
     rows = documents.batched(documents.to_bulk(docs, "docs", "doc_id"), 500, 1_000_000)
-    return rows.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(F.octet_length("_source")).alias("n_bytes"))
+    batches = rows.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("_source")).alias("bytes"),
+        F.sum(F.octet_length(F.get_json_object("_source", "$.text"))).alias("text_bytes"))
+    return batches.agg(F.count_if(F.expr("n > 500 OR (bytes > 1000000 AND n > 1)")).alias("n_over"),
+                       F.sum("n").alias("n_docs"), F.sum("text_bytes").alias("text_bytes"))
 
 
 @query("SELECT doc_id, lang FROM documents WHERE n_chars > 1000")
