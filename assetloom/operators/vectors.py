@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from assetloom.operators.contracts import Contract, ColumnSpec, Rule, require
 from assetloom.operators.tables import AssetTable
 from assetloom.operators.upsert import UpsertOptions
-from assetloom.session import scratch
+from assetloom.session import checkpointed, scratch
 
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 MIN_QUERY_BYTES = 16 * 1024  # so that a block holds at most 4096 queries
@@ -150,25 +150,17 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
 # --- text ----------------------------------------------------------------------------------------
 
-TERM_SLOTS = 1 << 18
 
+def _terms(text: str) -> Column:
+    """The terms of a text, lower-cased runs of letters and numbers, as 64-bit hashes."""
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.transform(words, lambda w: F.xxhash64(w))
 
-def _terms(text: Column, slots: int) -> Column:
-    """Hashed terms of a text: lower-cased runs of letters and numbers."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(slots)).cast("int"))
 
-
-def _weights(terms: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, slot, weight) of the unit TF-IDF vectors of a batch of term lists."""
-    lengths = np.diff(np.asarray(terms.offsets))
-    flat = np.asarray(terms.flatten(), dtype=np.int64)
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    cell, tf = np.unique(row * len(idf) + flat, return_counts=True)
-    row, slot = cell // len(idf), cell % len(idf)
-    weight = tf * idf[slot]
-    norm = np.sqrt(np.bincount(row, weight * weight, minlength=len(lengths)))
-    return row, slot, weight / np.where(norm == 0, 1.0, norm)[row]
+def _weighed(texts: DataFrame, key: str, idf: Column, documents: DataFrame) -> DataFrame:
+    """``key, term, weight`` of the unit TF-IDF vectors; a term no document holds weighs most."""
+    counted = texts.select(key, F.explode("terms").alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return counted.join(documents, "term", "left").select(key, "term", (F.col("tf") * idf).alias("weight"))
 
 
 def _runs(upto: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -181,64 +173,70 @@ def _runs(upto: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def nearest_texts(corpus: DataFrame, queries: DataFrame, k: int, slots: int = TERM_SLOTS) -> DataFrame:
-    """Nearest k texts by TF-IDF cosine: ``corpus(id, text)``, ``queries(query_id, text)``.
+def nearest_texts(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Nearest k texts by TF-IDF cosine: ``corpus(id, text)``, ``queries(query_id, text)``; ids are unique.
 
-    Terms are hashed into a fixed number of slots; the document frequency per slot is one grouped
-    count (at most ``slots`` rows come back) and whole texts are weighed in the tasks.
+    Document frequencies and lengths of vectors are grouped sums over all terms. The tasks then need only the terms of
+    a block of queries; whole texts are weighed where they lie.
     """
-    docs = corpus.select("id", _terms(F.coalesce("text", F.lit("")), slots).alias("terms"))
-    asked = queries.select("query_id", _terms(F.coalesce("text", F.lit("")), slots).alias("terms"))
-    counted = docs.select(F.explode(F.array_distinct("terms")).alias("slot")).groupBy("slot").count().toArrow()
-    n_docs = corpus.count()
-    frequency = np.zeros(slots)
-    frequency[np.asarray(counted["slot"])] = np.asarray(counted["count"])
-    idf = np.log((n_docs + 1) / (frequency + 1))
-    longest = asked.agg(F.max(F.size("terms")).alias("n")).first().n or 1
+    docs = corpus.select("id", _terms("text").alias("terms"))
+    asked = queries.select("query_id", _terms("text").alias("terms"))
+    n_docs = docs.count()
+    frequency = checkpointed(docs.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("df")))
+    idf = F.log(F.lit(n_docs + 1.0) / (F.coalesce("df", F.lit(0)) + 1))
+
+    def lengths(weighed: DataFrame, key: str) -> DataFrame:
+        return weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
+
+    measured = docs.join(lengths(_weighed(docs, "id", idf, frequency), "id"), "id", "left")
+    weighed = checkpointed(_weighed(asked, "query_id", idf, frequency))
+    unit = weighed.join(lengths(weighed, "query_id"), "query_id").join(
+        frequency.select("term", idf.alias("idf")), "term").where("length > 0").groupBy("query_id").agg(
+        F.collect_list(F.struct("term", (F.col("weight") / F.col("length")).alias("weight"), "idf")).alias("unit"))
+    vectors = asked.select("query_id").join(unit, "query_id", "left")
+    longest = vectors.agg(F.max(F.size("unit")).alias("n")).first().n or 1
 
     def kernel(block: DataFrame):
-        table = block.toArrow()  # one block: at most QUERY_BLOCK_BYTES
-        names = table["query_id"].combine_chunks()
-        q_row, q_slot, q_weight = _weights(table["terms"].combine_chunks(), idf)
-        by_slot = np.argsort(q_slot, kind="stable")
-        q_row, q_weight = q_row[by_slot], q_weight[by_slot]
-        q_slot = q_slot[by_slot]
-        used, first, held = np.unique(q_slot, return_index=True, return_counts=True)
-        dense = None
-        if len(used) * len(names) <= SCORE_CELLS:  # few terms: a matrix product, else term by term
-            dense = np.zeros((len(used), len(names)))
-            dense[np.searchsorted(used, q_slot), q_row] = q_weight
+        table = block.select("query_id", F.inline_outer("unit")).toArrow()  # one block: at most QUERY_BLOCK_BYTES
+        names, number = np.unique(np.array(table["query_id"].to_pylist()), return_inverse=True)
+        there = ~np.asarray(table["term"].is_null())
+        q_row = number[there]
+        q_term, q_weight, q_idf = (np.asarray(table[c].drop_null()) for c in ("term", "weight", "idf"))
+        by_term = np.argsort(q_term, kind="stable")
+        q_row, q_weight = q_row[by_term], q_weight[by_term]
+        used, first, held = np.unique(q_term[by_term], return_index=True, return_counts=True)
+        rarity = q_idf[by_term][first]
+        ids = pa.array(names.tolist(), table.schema.field("query_id").type)
 
         def run(batches):
             best, kind = _Best(len(names), k), None
             for batch in batches:
                 kind = batch.schema.field("id").type
-                for piece in _pieces(batch, max(len(names), len(used) if dense is not None else 0)):
-                    row, slot, weight = _weights(piece.column("terms"), idf)
-                    at = np.minimum(np.searchsorted(used, slot), max(len(used) - 1, 0))
-                    shared = used[at] == slot if len(used) else np.zeros(len(slot), dtype=bool)
-                    row, at, weight = row[shared], at[shared], weight[shared]
-                    if dense is not None:
-                        texts = np.zeros((piece.num_rows, len(used)))
-                        texts[row, at] = weight
-                        scores = texts @ dense
-                    else:
-                        scores = np.zeros(piece.num_rows * len(names))
-                        for lo, hi in _runs(np.cumsum(held[at]), SCORE_CELLS):
-                            n = held[at[lo:hi]]
-                            entry = np.arange(n.sum()) + np.repeat(first[at[lo:hi]] - (np.cumsum(n) - n), n)
-                            cell = np.repeat(row[lo:hi], n) * len(names) + q_row[entry]
-                            scores += np.bincount(cell, np.repeat(weight[lo:hi], n) * q_weight[entry], len(scores))
-                        scores = scores.reshape(piece.num_rows, len(names))
-                    scores = np.round(scores, SCORE_DIGITS)
+                for piece in _pieces(batch, len(names)):
+                    terms = piece.column("terms")
+                    row = np.repeat(np.arange(piece.num_rows), np.diff(np.asarray(terms.offsets)))
+                    flat = np.asarray(terms.flatten(), dtype=np.int64)
+                    at = np.minimum(np.searchsorted(used, flat), max(len(used) - 1, 0))
+                    shared = used[at] == flat if len(used) else np.zeros(len(flat), dtype=bool)
+                    cell, tf = np.unique(row[shared] * max(len(used), 1) + at[shared], return_counts=True)
+                    row, at = np.divmod(cell, max(len(used), 1))
+                    weight = tf * rarity[at] / np.asarray(piece.column("length").fill_null(1.0))[row]
+                    scores = np.zeros(piece.num_rows * len(names))
+                    for lo, hi in _runs(np.cumsum(held[at]), SCORE_CELLS):
+                        n = held[at[lo:hi]]
+                        entry = np.arange(n.sum()) + np.repeat(first[at[lo:hi]] - (np.cumsum(n) - n), n)
+                        cell = np.repeat(row[lo:hi], n) * len(names) + q_row[entry]
+                        scores += np.bincount(cell, np.repeat(weight[lo:hi], n) * q_weight[entry], len(scores))
+                    scores = np.round(scores.reshape(piece.num_rows, len(names)), SCORE_DIGITS)
                     best.add(scores, _ids(piece.column("id")))
             if kind is not None:
-                yield from best.batches(names, pa.schema(
-                    [("query_id", names.type), ("id", kind), ("cosine", pa.float64())]))
+                yield from best.batches(ids, pa.schema(
+                    [("query_id", ids.type), ("id", kind), ("cosine", pa.float64())]))
 
         return run
 
-    found = _search(docs, asked, k, longest * 16, kernel)
+    found = _search(measured, vectors, k, longest * 24, kernel)
     return found.withColumn("certainty", F.round(certainty(F.col("cosine")), SCORE_DIGITS))
 
 

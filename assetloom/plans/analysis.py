@@ -582,12 +582,29 @@ def nearest_vectors(spark, sf):
                         F.round("certainty", 6).alias("certainty"))
 
 
-@query()
+@query(r"""WITH d AS (SELECT doc_id AS id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
+                  lambda w: w <> '')) AS term FROM documents),
+    q AS (SELECT item_id AS query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
+                  lambda w: w <> '')) AS term FROM benchmark),
+    n AS (SELECT count(*) + 1.0 AS n FROM documents),
+    f AS (SELECT term, count(DISTINCT id) AS df FROM d GROUP BY term),
+    dw AS (SELECT id, term, count(*) * ln(any_value(n) / (any_value(df) + 1)) AS w FROM d JOIN f USING (term), n
+           GROUP BY id, term),
+    qw AS (SELECT query_id, term, count(*) * ln(any_value(n) / (coalesce(any_value(df), 0) + 1)) AS w
+           FROM q LEFT JOIN f USING (term), n GROUP BY query_id, term),
+    dl AS (SELECT id, sqrt(sum(w * w)) AS l FROM dw GROUP BY id),
+    ql AS (SELECT query_id, sqrt(sum(w * w)) AS l FROM qw GROUP BY query_id),
+    hit AS (SELECT query_id, id, sum(dw.w / dl.l * qw.w / ql.l) AS s
+            FROM qw JOIN ql USING (query_id) JOIN dw USING (term) JOIN dl USING (id) GROUP BY query_id, id),
+    every AS (SELECT item_id AS query_id, doc_id AS id FROM benchmark, documents),
+    s AS (SELECT query_id, id, round(coalesce(s, 0), 9) AS cosine FROM every LEFT JOIN hit USING (query_id, id)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, id) AS rank FROM s)
+    SELECT query_id, id, rank, round((1 + cosine) / 2, 6) AS certainty FROM r WHERE rank <= 3""")
 def nearest_texts(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return vectors.nearest_texts(docs, asked, 3).select("query_id", "id", "rank", F.round("certainty", 6)
-                                                        .alias("certainty"))
+    return vectors.nearest_texts(docs, asked, 3).select(
+        "query_id", "id", F.col("rank").cast("bigint").alias("rank"), F.round("certainty", 6).alias("certainty"))
 
 
 @query("""SELECT vec_id AS id, CASE WHEN label = 3 THEN 100 ELSE label END AS label FROM embeddings
