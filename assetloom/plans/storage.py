@@ -595,12 +595,14 @@ def window_layout(spark, sf):
              false AS missing FROM n
       UNION ALL SELECT 1, 'append', 'run-2', b, a + b, false FROM n
       UNION ALL SELECT 2, 'append', 'run-3', 0, a + b, true FROM n
-      UNION ALL SELECT 3, 'upsert', 'run-4', b, b, false FROM n WHERE false)""")
+      UNION ALL SELECT 3, 'upsert', 'run-4', a + 2 * b, a + 2 * b, false FROM n)""")
 def write_history(spark, sf):
     t, customers = fresh(spark, "customer"), table(spark, sf, "customer")
     t.overwrite(customers, run_id="run-1")
     t.append(customers.where("c_acctbal < 0"), run_id="run-2")
     t.append(None, run_id="run-3")
+    others = customers.where("c_acctbal < 0").withColumn("c_custkey", -F.col("c_custkey") - 1)
+    t.upsert(others, UpsertOptions(("c_custkey",)), run_id="run-4")
     return t.history().select("version", "mode", "run_id", "appended_rows", "total_rows", "missing")
 
 
@@ -646,6 +648,19 @@ def retention_two_aliases(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@query("SELECT doc_id, lang, true AS stored FROM documents WHERE lang = 'fr' "
+       "UNION ALL SELECT -1, NULL, false")
+def published_by_key(spark, sf):
+    """A build told by its partition key, and one that was never published."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    alias = publish.Published(spark, scratch(spark, "builds"), "by-key")
+    alias.publish(docs.where("lang = 'fr'"), partition_key="lang|FR")
+    there = alias.read(partition_key="lang|FR").withColumn("stored", F.lit(True))
+    missing = alias.read(docs.schema, partition_key="lang|xx")
+    return there.unionByName(missing.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(
+        F.lit(-1).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(False).alias("stored")))
+
+
 _KEYED = "CASE WHEN lang = 'fr' THEN '' WHEN lang = 'de' THEN NULL ELSE lang END"
 
 
