@@ -17,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 PIECE_BYTES = 4 << 20
+#: Words that are worked on at a time, which keeps the work space of a task small.
+_AT_ONCE = 1 << 16
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -93,18 +95,23 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
 
 def word_hashes(words: Words) -> np.ndarray:
     """A 64-bit hash of each word's bytes."""
-    if not len(words.start):
-        return np.zeros(0, np.uint64)
-    length = words.end - words.start
-    place = np.repeat(words.start - np.concatenate([[0], np.cumsum(length)[:-1]]), length)
-    place += np.arange(len(place))
-    within = place - np.repeat(words.start, length)
+    out = np.empty(len(words.start), np.uint64)
+    for at in range(0, len(out), _AT_ONCE):
+        some = slice(at, at + _AT_ONCE)
+        out[some] = _hashed(words.data, words.start[some], words.end[some])
+    return out
+
+
+def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    length = end - start
+    begins = np.cumsum(length) - length
+    place = np.repeat(start - begins, length) + np.arange(int(length.sum()))
+    within = place - np.repeat(start, length)
     factor = _AT[within & 4095]
     far = within > 4095
     if far.any():
         factor[far] = mixed(within[far]) | np.uint64(1)
-    parts = (words.data[place].astype(np.uint64) + np.uint64(1)) * factor
-    begins = np.concatenate([[0], np.cumsum(length)[:-1]])
+    parts = (data[place].astype(np.uint64) + np.uint64(1)) * factor
     return mixed(np.add.reduceat(parts, begins) + length.astype(np.uint64))
 
 
@@ -144,7 +151,8 @@ def single_spaced(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
     length = words.end - words.start
     start = np.cumsum(length + 1) - (length + 1)
     out = np.full(int((length + 1).sum()), 0x20, np.uint8)
-    shift = np.repeat(words.start - start, length)
-    target = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-    out[target] = words.data[target + shift]
+    for at in range(0, len(length), _AT_ONCE):
+        size, to = length[at : at + _AT_ONCE], start[at : at + _AT_ONCE]
+        target = np.repeat(to - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        out[target] = words.data[target + np.repeat(words.start[at : at + _AT_ONCE] - to, size)]
     return out.tobytes(), start, start + length
