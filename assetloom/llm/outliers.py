@@ -9,8 +9,9 @@ most ``CUTOFF``.
 Scale: statistics are one row a document and stay a narrow table. Estimates are grouped sums with partial sums; a distance
 quantile comes from counts in steps of the logarithm, so no group is sorted or collected and reruns agree. A group of less
 than ``LEAST_ROWS`` rows is judged with the other small groups of its language, and those, if still too few, with the small
-rest of all languages; a rest below that is kept as it is. A ridge of ``FLOORS`` squared keeps a constant statistic from
-dividing by zero.
+rest of all languages; a rest below that is judged by the estimate of all rows, and kept only where those too are fewer. A
+ridge of ``FLOORS`` squared keeps a constant statistic from dividing by zero; it is what one symbol, repeated run or line
+makes in a text of usual length, so that rows with a statistic that most rows lack are not hidden by it.
 
 Nulls and empty texts have no words and fail the base rules. Null languages and sources are groups of their own. Repeated
 rows count again and each come back. Other columns are not read.
@@ -25,16 +26,17 @@ from assetloom.llm.words import WORD
 from assetloom.session import checkpointed
 
 SUPPORT = 0.75
-#: Chi-square with five degrees of freedom at 1 - 1e-6.
-CUTOFF = 35.89
+#: Chi-square with five degrees of freedom at 0.999.
+CUTOFF = 20.515
 #: 0.75 over the chance that chi-square with seven degrees is below the 0.75 quantile with five: what a covariance of the
 #: inner 0.75 lacks.
 CONSISTENCY = 1.41
 STEPS = 4
 LEAST_ROWS = 50
-FLOORS = (0.25, 0.1, 0.07, 0.7, 0.2)
+FLOORS = (0.1, 0.05, 0.03, 0.35, 0.1)
 _N = len(FLOORS)
 _RUN = 5
+_POOL = "all rows"
 
 
 def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -75,7 +77,11 @@ def quality_outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = checkpointed(text_statistics(named, "body").drop("body").withColumn("base_failed", failed))
     vectors = checkpointed(_grouped(rows.where("NOT base_failed").withColumns(
         {f"x{i}": x for i, x in enumerate(_transformed())})))
-    estimate = _distances(vectors, _fit(vectors))
+    grouped = vectors.where("part IS NOT NULL")
+    n, n_grouped = vectors.agg(F.count(F.lit(1)), F.count("part")).first()
+    if n_grouped < n and n >= LEAST_ROWS:
+        grouped = grouped.unionByName(vectors.withColumn("part", F.lit(_POOL)))
+    estimate = _distances(vectors.withColumn("part", F.coalesce("part", F.lit(_POOL))), _fit(grouped))
     far = F.col("distance") > CUTOFF
     columns = ["doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance"]
     judged = estimate.withColumn("kept", ~F.coalesce(far, F.lit(False)))
@@ -107,9 +113,8 @@ def _grouped(rows: DataFrame) -> DataFrame:
     return whole
 
 
-def _fit(vectors: DataFrame) -> DataFrame:
+def _fit(grouped: DataFrame) -> DataFrame:
     """Mean and lower triangular root of the covariance of each group."""
-    grouped = vectors.where("part IS NOT NULL")
     quartiles = grouped.groupBy("part").agg(*[
         F.percentile(F.round(f"x{i}", 2), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i in range(_N)])
     start = [F.get(f"q{i}", 1).alias(f"m{i}") for i in range(_N)]

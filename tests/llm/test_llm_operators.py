@@ -387,6 +387,15 @@ def test_outliers(spark, corpus):
     assert not any(kept[900 + i] for i in range(8)) and all(kept[600 + i] for i in range(150))
 
 
+def test_outliers_are_menus_and_not_clean_rows(spark):
+    rng = random.Random(6)
+    rows = [[i, sentence(rng, rng.randrange(60, 400)), "en", "s0"] for i in range(200)]
+    menus = [[300 + i, " | ".join(sentence(rng, rng.randrange(60, 200)).split()), "en", "s0"] for i in range(16)]
+    rest = [[400, sentence(rng, 100), "fr", "s1"], [401, " | ".join(sentence(rng, 100).split()), "fr", None]]
+    kept = {r["doc_id"]: r["kept"] for r in outliers.quality_outliers(frame(spark, rows + menus + rest)).collect()}
+    assert {i for i, k in kept.items() if not k} == {*range(300, 316), 401}
+
+
 def test_outlier_distances_are_those_of_the_estimate(spark):
     rng = np.random.default_rng(1)
     rows = [("p", *map(float, x)) for x in rng.normal(size=(300, 5)) @ rng.normal(size=(5, 5))]
