@@ -247,6 +247,34 @@ def test_decontamination(spark):
     assert len(got) == len(expected) + 1
 
 
+@pytest.mark.parametrize("postings", [2_000_000, 300])
+def test_decontamination_finds_truncated_and_edited_items(spark, monkeypatch, postings):
+    monkeypatch.setattr(decontamination, "SHARD_POSTINGS", postings)
+    rng = random.Random(12)
+    items = [(i, sentence(rng, 20 + i, 5000) + ". " + sentence(rng, 2, 5000) + ".") for i in range(20)]
+    items.append((20, sentence(rng, 94, 5000) + ". " + sentence(rng, 2, 5000) + "."))
+    rows, expected = [], set()
+    for i, text in items:
+        own = text.split()
+        forms = [own[: len(own) * 9 // 10], own[:-1] + ["edited"], own[:5] + ["edited"] + own[6:]]
+        forms += [own[:48]] if i == 20 else []  # one part of a long item
+        for k, form in enumerate(forms):
+            rows.append([10 * i + k, f"{sentence(rng, 50, 5000)} {' '.join(form)} {sentence(rng, 50, 5000)}", "en", "s"])
+            expected.add((10 * i + k, i))
+        rows.append([10 * i + 9, f"{sentence(rng, 50, 5000)} {' '.join(own[: len(own) // 3])}", "en", "s"])
+    bench = spark.createDataFrame([(*x, "d", 1.0) for x in items], ITEMS)
+    got = decontamination.contaminated(frame(spark, rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == expected
+
+
+def test_decontamination_with_a_low_threshold(spark):
+    items = [(i, " ".join(["the", "of", "and", "to", *(f"w{i}x{j}" for j in range(4))])) for i in range(30)]
+    bench = spark.createDataFrame([(*x, "d", 1.0) for x in items], ITEMS)
+    docs = frame(spark, [[1, "the of and to", "en", "s"]])
+    got = decontamination.contaminated(docs, bench, threshold=0.005, overlap=0.1).collect()
+    assert {r["item_id"] for r in got} == set(range(30))
+
+
 def test_decontamination_in_shards_and_with_columns(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "SHARD_POSTINGS", 5)
     bench = spark.createDataFrame([(1, "alpha beta gamma delta", "epsilon zeta"), (2, "one two three four", "five six"),
