@@ -4,9 +4,11 @@ A page is cut into text nodes, each with its root-to-leaf path of tags (inline f
 text length and the punctuation of its nodes are summed and divided by the number of nodes. Both ratios are smoothed over
 the nodes in page order, fused as the length ratio times one plus the punctuation ratio, and a path is content where its
 mean reaches ``SHARE`` of the largest or a standard deviation. Headings, lists, tables and the like are content too where
-their container holds a content path. Menus, headers and footers of the page, sidebars, notices, adverts, forms, reader
-comments and what is not shown never count, by tag, role, class or id; in a page with an ``article`` or ``main`` that has
-text, the rest of the page does not count either.
+their container holds a content path. Menus, headers and footers of the page, forms and what is not shown never count, by
+tag, role or style. Sidebars, notices, adverts, reader comments and the like do not count by class or id, unless the element
+holds so much of the page's text (``MOST``), or a ``main``, that it is a wrapper which only mentions them. In a page with an
+``article`` or ``main`` that has text, the rest of the page does not count either, unless it has both the better path and
+more text.
 
 Null and empty pages give an empty text. Unclosed tags, stray brackets and broken references are read as browsers do, as
 far as text goes. Repeated rows give repeated rows; columns other than those named are not read. A page is one row, so no
@@ -27,6 +29,9 @@ from pyspark.sql import functions as F
 from assetloom.llm.words import pieces
 
 SHARE = 0.2
+#: From which share of the page's text on a name does not make noise: by whether all words of a class or id are noise, and
+#: whether the element holds an article.
+MOST = {(True, False): 0.9, (True, True): 0.5, (False, False): 0.5, (False, True): 0.2}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
     r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|title|select)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -73,14 +78,45 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(page: str) -> str:
     """The main text of one page."""
-    nodes = list(_nodes(page))
+    nodes = _without_noise(list(_nodes(page)))
     inside = [n for n in nodes if n[2]]
-    if sum(len(n[0]) for n in inside):
+    outside = [n for n in nodes if not n[2]]
+    if inside and not (outside and _outweighs(nodes)):
         nodes = inside
     if not nodes:
         return ""
     chosen = _chosen([n[1] for n in nodes], [n[0] for n in nodes])
-    return " ".join(text for text, path, _ in nodes if path in chosen)
+    return " ".join(text for text, path, *_ in nodes if path in chosen)
+
+
+def _without_noise(nodes: list[tuple]) -> list[tuple]:
+    """The nodes that lie in no element which is noise by its name."""
+    total = sum(len(n[0]) for n in nodes)
+    held: dict[_Named, int] = {}
+    for text, _, _, names in nodes:
+        for x in names:
+            held[x] = held.get(x, 0) + len(text)
+    noise = {x for x, n in held.items() if not x.main and n < MOST[x.bare, x.article] * total}
+    return [n for n in nodes if not any(x in noise for x in n[3])]
+
+
+def _outweighs(nodes: list[tuple]) -> bool:
+    """Whether the text outside articles has the best path and is longer on its content paths."""
+    score = _scores([n[1] for n in nodes], [n[0] for n in nodes])
+    chosen = _chosen([n[1] for n in nodes], [n[0] for n in nodes])
+    best, length = [0.0, 0.0], [0, 0]
+    for text, path, article, _ in nodes:
+        best[article] = max(best[article], score[path])
+        length[article] += len(text) if path in chosen else 0
+    return best[0] > best[1] and length[0] > length[1]
+
+
+class _Named:
+    """An element with a name of noise: whether each word of a class or id is one, and whether an article or main with
+    text lies in it."""
+
+    def __init__(self, bare: bool) -> None:
+        self.bare, self.article, self.main = bare, False, False
 
 
 def _noisy(tag: str, rest: str, in_article: bool) -> bool:
@@ -93,8 +129,6 @@ def _noisy(tag: str, rest: str, in_article: bool) -> bool:
         return False
     for name, *values in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), next((v for v in values if v), "")
-        if name in ("class", "id") and any(w.lower() in _NOISE for w in _WORD_OF_NAME.findall(value)):
-            return True
         if name == "role" and value.lower() in _ROLES or name == "aria-hidden" and value.lower() == "true":
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -102,9 +136,19 @@ def _noisy(tag: str, rest: str, in_article: bool) -> bool:
     return bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", rest), re.I))
 
 
-def _nodes(page: str) -> Iterator[tuple[str, tuple[str, ...], bool]]:
-    """Text, path, and whether it lies in an article, of each block of text in page order; noise left out."""
-    stack: list[tuple[str, bool, bool]] = []  # tag, noise, article
+def _named(tag: str, rest: str) -> _Named | None:
+    """The element, if a word of its class or id names noise."""
+    if not rest or tag in ("html", "body", "article", "main"):
+        return None
+    words = [[w.lower() in _NOISE for w in _WORD_OF_NAME.findall(next((v for v in values if v), ""))]
+             for name, *values in _ATTRIBUTE.findall(rest) if name.lower() in ("class", "id")]
+    return _Named(any(w and all(w) for w in words)) if any(map(any, words)) else None
+
+
+def _nodes(page: str) -> Iterator[tuple[str, tuple[str, ...], bool, tuple[_Named, ...]]]:
+    """Text, path, whether it lies in an article, and the elements around it with a name of noise, of each block of text in
+    page order; noise by tag, role or style left out."""
+    stack: list[tuple[str, bool, bool, tuple[_Named, ...]]] = []  # tag, noise, article, names
     held: list[str] = []
     at = 0
     for token in _TOKEN.finditer(page):
@@ -114,16 +158,17 @@ def _nodes(page: str) -> Iterator[tuple[str, tuple[str, ...], bool]]:
         tag = (token["tag"] or "").lower()
         if not tag or tag in _INLINE and tag != "a" and not token["rest"].strip():
             if tag and not token["end"]:
-                stack.append((tag, *(stack[-1][1:] if stack else (False, False))))
+                stack.append((tag, *(stack[-1][1:] if stack else (False, False, ()))))
             elif tag:
+                if stack and (stack[-1][1] or stack[-1][3]):
+                    yield from _flushed(held, stack)
                 _close(stack, tag)
             continue
         inline = tag in _INLINE
-        noisy = not token["end"] and not inline and False
         if not inline:
             yield from _flushed(held, stack)
         if token["end"]:
-            if inline and stack and any(x[1] for x in stack) or not inline:
+            if inline and stack and any(x[1] or x[3] for x in stack) or not inline:
                 yield from _flushed(held, stack)
             _close(stack, tag)
             continue
@@ -131,22 +176,27 @@ def _nodes(page: str) -> Iterator[tuple[str, tuple[str, ...], bool]]:
             continue
         if not inline:
             _make_room(stack, tag)
-        _, noise, article = stack[-1] if stack else ("", False, False)
+        _, noise, article, names = stack[-1] if stack else ("", False, False, ())
         noisy = noise or _noisy(tag, token["rest"], article)
-        if inline and noisy and not noise:
+        named = _named(tag, token["rest"])
+        if inline and (noisy and not noise or named):
             yield from _flushed(held, stack)
-        stack.append((tag, noisy, article or tag in ("article", "main")))
+        stack.append((tag, noisy, article or tag in ("article", "main"), (*names, named) if named else names))
     if at < len(page):
         held.append(page[at:])
     yield from _flushed(held, stack)
 
 
-def _flushed(held: list[str], stack: list) -> Iterator[tuple[str, tuple[str, ...], bool]]:
+def _flushed(held: list[str], stack: list) -> Iterator[tuple[str, tuple[str, ...], bool, tuple[_Named, ...]]]:
     """The block of text that ends here."""
     text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
     held.clear()
     if text and not (stack and stack[-1][1]):
-        yield text, tuple(x[0] for x in stack if x[0] not in _INLINE), bool(stack) and stack[-1][2]
+        for tag, _, _, names in stack:
+            for x in names if tag in ("article", "main") else ():
+                x.article, x.main = True, x.main or tag == "main"
+        names = stack[-1][3] if stack else ()
+        yield text, tuple(x[0] for x in stack if x[0] not in _INLINE), bool(stack) and stack[-1][2], names
 
 
 def _close(stack: list, tag: str) -> None:
@@ -166,8 +216,8 @@ def _make_room(stack: list, tag: str) -> None:
             return
 
 
-def _chosen(paths: list[tuple[str, ...]], texts: list[str]) -> set[tuple[str, ...]]:
-    """The content paths."""
+def _scores(paths: list[tuple[str, ...]], texts: list[str]) -> dict[tuple[str, ...], float]:
+    """The fused ratio of each path."""
     names = sorted(set(paths))
     number = {p: i for i, p in enumerate(names)}
     of = np.array([number[p] for p in paths])
@@ -178,7 +228,13 @@ def _chosen(paths: list[tuple[str, ...]], texts: list[str]) -> set[tuple[str, ..
     weight = np.convolve(np.ones(len(of)), kernel, "full")[2:-2]
     length, marks = (np.bincount(of, np.convolve(x[of], kernel, "full")[2:-2] / weight) / count
                      for x in (length, marks))
-    score = length * (1 + marks)
+    return dict(zip(names, length * (1 + marks)))
+
+
+def _chosen(paths: list[tuple[str, ...]], texts: list[str]) -> set[tuple[str, ...]]:
+    """The content paths."""
+    scores = _scores(paths, texts)
+    names, score = list(scores), np.array(list(scores.values()))
     cut = min(SHARE * score.max(), max(score.std(), 1e-9))
     content = {p for p, s in zip(names, score) if s >= cut}
     homes = {_home(p) for p in content}

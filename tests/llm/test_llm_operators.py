@@ -537,6 +537,23 @@ def test_page_text(page, text):
     assert got.startswith(LONG) if text is None else got == text
 
 
+_LONG = "A long sentence of the story, with commas, goes on and on. It has another one, too."
+
+
+@pytest.mark.parametrize("page, text", [
+    *((f"<body><div class='{c}'><p>{_LONG}</p><p>{_LONG}</p></div><div class='ad'>Buy now.</div></body>", f"{_LONG} {_LONG}")
+      for c in ("content has-sidebar", "post social-share-enabled", "page no-comments")),
+    (f"<div class='page no-comments'><article><p>{_LONG}</p></article></div><div class='comments'><p>So so, so.</p></div>",
+     _LONG),
+    (f"<div><p>{_LONG}</p><p>{_LONG}</p></div><article><a href='x'>Teaser</a></article><article><a href='y'>More</a></article>",
+     f"{_LONG} {_LONG}"),
+    (f"<p>{_LONG} <span class='ad'>Buy now.</span> {_LONG}</p>", f"{_LONG} {_LONG}"),
+    (f"<article><p>{_LONG}</p></article><div class='comments'><p>{_LONG} No!</p><p>{_LONG} Yes!</p></div>", _LONG),
+])
+def test_page_text_is_not_lost_to_names_or_teasers(page, text):
+    assert page_text.extract(page) == text
+
+
 def test_page_rows(spark):
     rows = [(1, "u", "<article><p>é " + LONG + "</p></article>", "x"), (2, None, None, "x"), (None, "u", "", "x")]
     pages = spark.createDataFrame(rows + rows[:1], "page_id long, url string, html string, body string")
