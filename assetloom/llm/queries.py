@@ -8,15 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetloom.llm.decontamination import contaminated
+from assetloom.llm.disguised_identifiers import KINDS, disguised_identifiers
 from assetloom.llm.languages import held_out, predict_language
 from assetloom.llm.mixing import mix_sources
 from assetloom.llm.near_duplicates import near_duplicate_classes
 from assetloom.llm.outliers import quality_outliers
 from assetloom.llm.page_text import main_text
+from assetloom.llm.periodic_runs import periodic_runs
 from assetloom.llm.repeats import remove_repeated_passages
 from assetloom.llm.suffix_tree import suffix_tree_scores
+from assetloom.llm.token_alignment import aligned_tokens
 from assetloom.llm.tool_calls import link_tool_calls
 from assetloom.llm.url_lists import host_of, judged
+from assetloom.llm.words import WORD
 from assetloom.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +179,51 @@ def op9_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_prob_minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = near_duplicate_classes(table(spark, sf_dir, "documents"))
     return classes.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """The documents with a periodic tail in every tenth: from a word on, some words repeat to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("w"))
+    placed = split.withColumn("n", F.size("w")).withColumn("a", F.expr("int(g % n)")).withColumn(
+        "p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    tail = F.expr("slice(flatten(array_repeat(slice(w, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)")
+    periodic = F.array_join(F.concat(F.expr("slice(w, 1, a)"), tail), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, periodic).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    # Runs are in order of start, then period, so the first of equal exponents stays.
+    greater = lambda best, r: best.isNull() | (r.length * best.period > best.length * r.period)
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(greater(b, r), r).otherwise(b))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query()
+def op12_disguised_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disguised_identifiers(table(spark, sf_dir, "documents"))
+    plain = F.filter("found", lambda x: x.plain)
+    number = lambda k: F.size(F.filter(plain, lambda x: x.kind == k)).cast("long")
+    counts = [number(k).alias(f"n_{k}") for k in KINDS]
+    # "card" < "email" < "ip" < "phone" is not the order in which the kinds are listed.
+    place = lambda x: F.array_position(F.array(*map(F.lit, KINDS)), x.kind)
+    ordered = F.array_sort(F.transform("found", lambda x: F.struct(
+        place(x).alias("place"), x.start.alias("start"), x.end.alias("end"), x.kind.alias("kind"))))
+    listed = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", x.kind, x.start, x.end)), ",")
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(plain).cast("binary"), 256).alias("base_sha256"),
+        listed(ordered).alias("spans"), (F.size("found") - F.size(plain)).cast("long").alias("n_added"))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_tokens(table(spark, sf_dir, "documents")).withColumnRenamed("groups", "groups_sha256")
