@@ -68,11 +68,14 @@ _ONE_SPELLED = re.compile(rf"({_NAME}|[0-9])({_GAP}|$)", re.I)
 _SPELLED_HINT = re.compile(rf"\b{_NAME}{_GAP}(?:{_NAME}|[0-9]){_GAP}(?:{_NAME}|[0-9])\b", re.I)
 _SIGN = r"[\[({<]\x20?(?:(at|@)|dot|punkt|point|punto|\.)\x20?[\])}>]"
 _BRACKETED, _BRACKETED_HINT = re.compile(rf"\x20?{_SIGN}\x20?", re.I), re.compile(_SIGN, re.I)
-#: Words around a bare "at", a domain of labels joined by "dot", and a last label of letters.
+#: Last labels that are believed without brackets; none of them is an English word.
+PLAIN_ENDINGS = ("com", "org", "net", "edu", "gov", "mil", "info", "biz", "io", "dev", "co", "eu", "uk", "de", "fr", "es", "ch",
+                 "nl", "pl", "ru", "se", "dk", "fi", "br", "mx", "jp", "cn", "au", "ca", "example", "invalid")
+#: Words around a bare "at", a domain of labels joined by "dot", and a last label of those above.
 _BARE = re.compile(r"(?<![\w.])[A-Za-z0-9_%+-]{1,64}(?:(?:\.|\x20dot\x20|_dot_)[A-Za-z0-9_%+-]{1,64}){0,4}"
                    r"(\x20at\x20|_at_|@|\x20@\x20)"
                    r"[A-Za-z0-9-]{1,63}(?:(?:\.|\x20dot\x20|_dot_)[A-Za-z0-9-]{1,63}){0,4}"
-                   r"(?:\x20dot\x20|_dot_)(?!dot\b|at\b)[A-Za-z]{2,24}(?![\w-])", re.I)
+                   rf"(?:\x20dot\x20|_dot_)(?:{'|'.join(PLAIN_ENDINGS)})(?![\w-])", re.I)
 _BARE_IP = re.compile(r"(?<![\w.])[0-9]{1,3}(?:(?:\.|\x20dot\x20)[0-9]{1,3}){3}(?![\w.])", re.I)
 _BARE_STEP = re.compile(r"\x20at\x20|_at_|\x20@\x20|\x20dot\x20|_dot_", re.I)
 _DOT_HINT = re.compile(r"\x20dot\x20|_dot_", re.I)

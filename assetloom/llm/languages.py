@@ -2,11 +2,15 @@
 
 The family is predicted first, then one-versus-one linear support vector machines separate the languages within it.
 Features are the relative counts of runs of 2 to 4 letters (bytes in lower case; whatever is not a letter counts as one
-space), hashed into ``BINS`` bins. The machines are fitted from at most ``SAMPLE`` labelled documents a language, chosen
-by hash, each machine as one group of bounded size; every document is then scored where it lies.
-
-Nulls and texts without a letter are ``und`` with score 0. Without labelled rows every text is ``und``. With one language
-all texts are that one. Null ids count as not held out; repeated rows are scored alike; other columns are not read.
+space), hashed into ``BINS`` bins. The machines are fitted from at most ``SAMPLE`` labelled documents a language, each
+machine as one group of bounded size; every document is then scored where it lies. The sample is chosen by language and
+hash alone: each of ``SALTS`` shares of a language keeps its smallest hashes, then the language does, and only the texts
+up to the last of these hashes are read. The next ``CALIBRATION`` hashes of each language are not fitted but scored; half
+of the least score of a right prediction among them is the score below which a text is in no known language.
+
+Nulls and texts without a letter are ``und`` with score 0. Without labelled rows every text is ``und``, and those with a
+letter are accepted. With one language all texts are that one. Null ids count as not held out; repeated rows are scored
+alike, and count once in the sample; other columns are not read, only handed on where asked for.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ from assetloom.llm.words import buffer, pieces
 from assetloom.session import checkpointed
 
 SAMPLE = 500
+CALIBRATION = 200
+SALTS = 64
 BINS = 1 << 16
 RUNS = (2, 3, 4)
 #: Languages and the families they belong to. Any other language is a family of its own.
@@ -41,28 +47,55 @@ for _c in range(128):
 
 
 def predict_language(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     lang_col: str = "lang") -> DataFrame:
-    """Every row of ``docs`` (``id_col`` and ``text_col``) with ``lang_pred`` and ``score``."""
-    languages, machines = _fitted(labelled, id_col, text_col, lang_col)
-    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"),
-                       F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("written"))
-    kind = dict(rows.dtypes)["doc"]
-    scored = rows.mapInArrow(_scorer(languages, machines), f"doc {kind}, lang_pred string, score double")
-    return scored.withColumnRenamed("doc", id_col)
+                     lang_col: str = "lang", keep_columns: bool = False) -> DataFrame:
+    """Every row of ``docs`` (``id_col``, or with ``keep_columns`` all columns) with ``lang_pred``, ``score`` and
+    ``accepted``: whether the text has a letter and scores as texts of the known languages do."""
+    languages, machines, floor = _fitted(labelled, id_col, text_col, lang_col)
+    kept = docs.columns if keep_columns else [id_col]
+    place = {c: f"row.c{k}" for k, c in enumerate(kept) if c != text_col or not keep_columns} | (
+        {text_col: "body"} if keep_columns else {})
+    rows = docs.select(F.struct(*[F.col(c).alias(p[4:]) for c, p in place.items() if p != "body"]).alias("row"),
+                       F.col(text_col).alias("body"), _written(text_col).alias("written"))
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
+    scored = rows.mapInArrow(_scorer(languages, machines, keep_columns), schema + ", body string" * keep_columns)
+    accepted = (F.col("score") >= floor) & (F.col("lang_pred") != "und") if languages else _written(text_col)
+    if not languages:
+        return docs.select(*kept, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), accepted.alias("accepted"))
+    return scored.select(*[F.col(place[c]).alias(c) for c in kept], "lang_pred", "score",
+                         accepted.alias("accepted"))
+
+
+def _written(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+
+
+def _sampled(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``lang, rank, body`` and ``fitted`` of the texts with the smallest hashes of each language."""
+    rows = labelled.where(F.col(lang_col).isNotNull() & _written(text_col)).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("body"),
+        F.xxhash64(F.col(id_col), F.col(text_col)).alias("rank"))
+    size = SAMPLE + CALIBRATION
+    narrow = rows.select("lang", "rank", F.pmod("rank", F.lit(SALTS)).alias("salt"))
+    for keys in (("lang", "salt"), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("rank"))
+        narrow = narrow.withColumn("n", place).where(F.col("n") <= size)
+    fitted = F.when(F.col("n") <= SAMPLE, F.col("rank"))
+    last = narrow.groupBy("lang").agg(F.max("rank").alias("last"), F.max(fitted).alias("fitted_last"))
+    some = rows.join(last, "lang").where(F.col("rank") <= F.col("last"))
+    return checkpointed(some.groupBy("lang", "rank").agg(
+        F.min("body").alias("body"), (F.col("rank") <= F.min("fitted_last")).alias("fitted")))
 
 
 def _fitted(labelled: DataFrame, id_col: str, text_col: str, lang_col: str):
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("body"),
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("rank"))
-    chosen = checkpointed(rows.withColumn("n", F.row_number().over(
-        Window.partitionBy("lang").orderBy("rank", "body"))).where(F.col("n") <= SAMPLE))
+    """Languages, machines and the least score of a known language."""
+    sample = _sampled(labelled, id_col, text_col, lang_col)
+    chosen, others = sample.where("fitted"), sample.where("NOT fitted")
     languages = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())
     family = {x: _FAMILY.get(x, x) for x in languages}
     machines = [("family", a, b) for a, b in combinations(sorted(set(family.values())), 2)]
     machines += [("language", a, b) for a, b in combinations(languages, 2) if family[a] == family[b]]
     if not machines:
-        return languages, []
+        return languages, [], 0.0
     wanted = []
     for k, (level, a, b) in enumerate(machines):
         side = family if level == "family" else {x: x for x in languages}
@@ -71,7 +104,12 @@ def _fitted(labelled: DataFrame, id_col: str, text_col: str, lang_col: str):
     fitted = chosen.join(plan, "lang").groupBy("machine").applyInPandas(
         _fit, "machine long, weights binary, bias double").collect()
     models = {r["machine"]: (np.frombuffer(r["weights"], np.float32), r["bias"]) for r in fitted}
-    return languages, [(*machines[k], *models[k]) for k in range(len(machines))]
+    whole = [(*machines[k], *models[k]) for k in range(len(machines))]
+    rows = others.select(F.struct("lang").alias("row"), "body", F.lit(True).alias("written"))
+    right = rows.mapInArrow(_scorer(languages, whole), "row struct<lang: string>, lang_pred string, score double").where(
+        "row.lang = lang_pred")
+    least = right.agg(F.min("score")).first()[0]
+    return languages, whole, (least or 0.0) / 2
 
 
 def _bins(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +167,7 @@ def _fit(group: pd.DataFrame) -> pd.DataFrame:
                          "bias": [bias * 1e-2]})
 
 
-def _scorer(languages: list[str], machines: list[tuple]):
+def _scorer(languages: list[str], machines: list[tuple], keep_body: bool = False):
     family = {x: _FAMILY.get(x, x) for x in languages}
 
     def decide(margins: dict, choices: list[str], level: str) -> tuple[np.ndarray, np.ndarray]:
@@ -169,8 +207,9 @@ def _scorer(languages: list[str], machines: list[tuple]):
                 known = written & (len(languages) > 0)
                 names = np.array([*languages, "und"], object)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc"), pa.array(names[np.where(known, picked, len(languages))], pa.string()),
-                     pa.array(np.where(known, np.clip(sure, 0, 1), 0.0))], names=["doc", "lang_pred", "score"])
+                    [piece.column("row"), pa.array(names[np.where(known, picked, len(languages))], pa.string()),
+                     pa.array(np.where(known, np.clip(sure, 0, 1), 0.0)), *[piece.column("body")] * keep_body],
+                    names=["row", "lang_pred", "score", *["body"] * keep_body])
 
     return score
 

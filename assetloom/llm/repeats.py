@@ -45,11 +45,15 @@ _FOUND = "doc long, text long, start int, windows int, digest binary"
 
 
 def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50,
-                             minimiser: int = 5) -> DataFrame:
+                             minimiser: int = 5, keep_columns: bool = False) -> DataFrame:
     """Return ``id_col``, ``text_hash``, ``n_words``, ``n_removed`` and ``kept_text`` (kept words joined by one space).
 
-    A word goes if a window over it also starts in a document with a smaller id.
+    A word goes if a window over it also starts in a document with a smaller id. With ``keep_columns`` the other columns
+    come back too, in the same pass over the rows.
     """
+    rest = [c for c in docs.columns if c not in (id_col, text_col)] if keep_columns else []
+    carried = [F.struct(F.col(id_col).alias("id"),
+                        *[F.col(c).alias(f"c{k}") for k, c in enumerate(rest)]).alias("row")] if keep_columns else []
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"),
                        F.xxhash64(text_col).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0)).alias("n")).first()["n"]
@@ -64,8 +68,15 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
         late.select("doc", "text", "start", "windows"))
     by_doc = spans.groupBy("doc", "text").agg(F.collect_list("start").alias("start"),
                                               F.collect_list("windows").alias("windows"))
-    kept = rows.join(by_doc, ["doc", "text"], "left").mapInArrow(
-        _cutter(window), "doc long, text long, n_words long, n_removed long, kept_text string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"),
+                       F.xxhash64(text_col).alias("text"), *carried)
+    schema = "doc long, text long, n_words long, n_removed long, kept_text string"
+    if carried:
+        schema += f", row {rows.schema['row'].dataType.simpleString()}, body string"
+    kept = rows.join(by_doc, ["doc", "text"], "left").mapInArrow(_cutter(window), schema)
+    if carried:
+        return kept.select(F.col("row.id").alias(id_col), F.col("body").alias(text_col),
+                           *[F.col(f"row.c{k}").alias(c) for k, c in enumerate(rest)], "n_removed", "kept_text")
     return kept.select(F.col("doc").alias(id_col), F.col("text").alias("text_hash"), "n_words", "n_removed",
                        "kept_text")
 
@@ -249,10 +260,11 @@ def _cutter(window: int):
                 texts = [_text(joined, left, right, kept, a, b)
                          for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist())]
                 removed = words.counts - np.diff(np.concatenate([[0], np.cumsum(kept)])[words.first])
+                carried = ["row", "body"] if "row" in piece.schema.names else []
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc"), piece.column("text"), pa.array(words.counts, pa.int64()),
-                     pa.array(removed, pa.int64()), pa.array(texts, pa.string())],
-                    names=["doc", "text", "n_words", "n_removed", "kept_text"])
+                     pa.array(removed, pa.int64()), pa.array(texts, pa.string()), *(piece.column(c) for c in carried)],
+                    names=["doc", "text", "n_words", "n_removed", "kept_text", *carried])
 
     return cut
 

@@ -17,10 +17,9 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are written in a language; texts that are null or have no letter go."""
-    predicted = predict_language(docs, docs.where(~held_out("doc_id", 3))).where("lang_pred != 'und'")
-    known = predicted.select(F.col("doc_id").alias("known")).distinct()
-    return docs.where(F.col("text").rlike(r"\p{L}")).join(known, F.col("doc_id").eqNullSafe(F.col("known")), "left_semi")
+    """The documents that the operator accepts: with a letter, and scored as texts of the learned languages are."""
+    scored = predict_language(docs, docs.where(~held_out("doc_id", 3)), keep_columns=True)
+    return scored.where("accepted").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +31,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 50 words that an earlier document holds; what nothing is left of goes."""
-    cut = remove_repeated_passages(docs).where("n_removed > 0").select("doc_id", "text_hash", "kept_text")
-    cut = cut.dropDuplicates(["doc_id", "text_hash"])
-    joined = docs.withColumn("text_hash", F.xxhash64("text")).join(cut, ["doc_id", "text_hash"], "left")
-    text = F.coalesce("kept_text", "text")
-    return joined.where("kept_text IS NULL OR kept_text != ''").select(
-        "doc_id", text.alias("text"), "lang", "source",
-        F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length(text)).alias("n_chars"))
+    cut = remove_repeated_passages(docs, keep_columns=True).where("n_removed = 0 OR kept_text != ''")
+    less = F.col("n_removed") > 0
+    return cut.select("doc_id", F.when(less, F.col("kept_text")).otherwise(F.col("text")).alias("text"), "lang", "source",
+                      F.when(less, F.length("kept_text")).otherwise(F.col("n_chars")).alias("n_chars"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
