@@ -10,16 +10,19 @@ without such columns, of a retrieved part, which for items of at most ``PART_WOR
 
 Words are runs of letters and digits, A-Z in lower case. The index is cut into shards of ``SHARD_POSTINGS`` postings, one
 pass each, so what the driver and a task hold does not grow with the benchmark: of several shards the hits of one are
-written before the next is read. No row of the documents is shuffled.
+written before the next is read; a shard's postings are broadcast as arrays. No row of the documents is shuffled.
 
-Nulls and empty texts hold no passage; items without words are never found; null ids are kept as they are. Repeated rows
-are reported again. Columns other than the id and the text are not read.
+Repeated items are indexed once, and ids of any type are kept as they are; items that share an id are reported together,
+those with a null id each for itself. Nulls and empty texts hold no passage; items without words are never found. Repeated
+documents are reported again. Columns other than the ids and texts are not read.
 """
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,17 +58,20 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     answer = F.coalesce(answer_col, F.lit("")) if answer_col else F.lit("")
     question = F.coalesce(question_col, F.lit("")) if question_col else F.left(
         body, F.length(body) - F.length(answer)) if answer_col else F.lit(None).cast("string")
-    entries = items.select(F.col(item_col).cast("long").alias("item"), body.alias("body"),
-                           question.alias("question"), answer.alias("answer"))
-    postings = _postings(entries)
+    entries = items.select(F.col(item_col).alias("item"), body.alias("body"), question.alias("question"),
+                           answer.alias("answer")).distinct()
+    number = F.sha2(F.to_json(F.struct("item", "body", "question", "answer")), 256)
+    postings = _postings(entries.withColumn("number", number))
+    item_kind = dict(entries.dtypes)["item"]
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"))
     kind = dict(rows.dtypes)["doc"]
     found = None
     shards = 1 + int(postings.agg(F.coalesce(F.max("shard"), F.lit(0))).first()[0])
     for shard in range(shards):
-        index = _Index(postings.where(F.col("shard") == shard).toPandas(), threshold)
-        part = rows.mapInArrow(_searcher(index, threshold, overlap), f"doc {kind}, item long, score double, "
-                               "n_passages int, question_overlap double, answer_overlap double")
+        held = postings.where(F.col("shard") == shard).drop("shard").toArrow()
+        shared = docs.sparkSession.sparkContext.broadcast(_written(held))
+        part = rows.mapInArrow(_searcher(shared, uuid.uuid4().hex, threshold, overlap), f"doc {kind}, item {item_kind}, "
+                               "score double, n_passages int, question_overlap double, answer_overlap double")
         part = checkpointed(part) if shards > 1 else part
         found = part if found is None else found.unionByName(part)
     return found.withColumnsRenamed({"doc": id_col, "item": item_col})
@@ -73,21 +79,24 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def _postings(entries: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """``item, part, shard`` with the term hashes and weights of the part and the runs of question and answer."""
-    parts = checkpointed(entries.mapInArrow(_parts, "item long, part int, terms array<long>, counts array<int>, "
-                                            "length int, question array<long>, answer array<long>"))
+    kind = dict(entries.dtypes)["item"]
+    parts = checkpointed(entries.mapInArrow(
+        _parts, f"number string, item {kind}, part int, terms array<long>, counts array<int>, length int, "
+        "question array<long>, answer array<long>"))
     whole = parts.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), F.sum(F.size("terms")).alias("p"))
     n, mean, total = whole.first()
-    exploded = parts.select("item", "part", "length", F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(
-        "item", "part", "length", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
+    exploded = parts.select("number", "part", "length", F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(
+        "number", "part", "length", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
     rarity = exploded.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.lit(mean)))
-    scored = exploded.join(rarity, "term").withColumn("weight", weight).groupBy("item", "part").agg(
+    scored = exploded.join(rarity, "term").withColumn("weight", weight).groupBy("number", "part").agg(
         F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("w"))
     self_score = F.aggregate("w.weight", F.lit(0.0), lambda a, x: a + x)
     shards = max(1, -(-int(total or 0) // SHARD_POSTINGS))
-    return checkpointed(scored.join(parts.select("item", "part", "question", "answer"), ["item", "part"]).select(
-        "item", "part", F.pmod(F.xxhash64("item"), F.lit(shards)).alias("shard"), F.col("w.term").alias("terms"),
+    whole = scored.join(parts.select("number", "item", "part", "question", "answer"), ["number", "part"])
+    return checkpointed(whole.select(
+        "number", "item", "part", F.pmod(F.xxhash64("number"), F.lit(shards)).alias("shard"), F.col("w.term").alias("terms"),
         F.transform("w.weight", lambda x: x / self_score).alias("weights"), "question", "answer"))
 
 
@@ -115,32 +124,52 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes(words)
         questions, answers = _runs(batch.column("question")), _runs(batch.column("answer"))
         whole = batch.column("question").is_null().to_pylist()
-        rows = []
-        for i, item in enumerate(batch.column("item").to_pylist()):
+        rows, at = [], []
+        for i, number in enumerate(batch.column("number").to_pylist()):
             own = hashes[words.first[i] : words.first[i + 1]]
             if not len(own):
                 continue
             for k, some in enumerate(np.array_split(own, -(-len(own) // PART_WORDS))):
                 terms, counts = np.unique(some, return_counts=True)
                 question = _runs_of(some) if whole[i] else questions[i]
-                rows.append((item, k, terms.view(np.int64), counts, len(some), question, answers[i]))
+                rows.append((number, k, terms.view(np.int64), counts, len(some), question, answers[i]))
+                at.append(i)
         if rows:
-            kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(),
+            kinds = (pa.string(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(),
                      pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[
-                "item", "part", "terms", "counts", "length", "question", "answer"])
+            number, *others = (pa.array(c, t) for c, t in zip(zip(*rows), kinds))
+            yield pa.RecordBatch.from_arrays([number, batch.column("item").take(pa.array(at)), *others], names=[
+                "number", "item", "part", "terms", "counts", "length", "question", "answer"])
+
+
+def _written(held: pa.Table) -> bytes:
+    """A table as one buffer."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, held.schema) as stream:
+        stream.write_table(held)
+    return out.getvalue().to_pybytes()
+
+
+@lru_cache(maxsize=2)
+def _read(shared, mark: str, threshold: float) -> _Index:
+    """The index of a shard, built once in each worker."""
+    return _Index(pa.ipc.open_stream(shared.value).read_all(), threshold)
 
 
 class _Index:
     """Postings by term in order of the part, with the largest weight of each block and term."""
 
-    def __init__(self, frame, threshold: float = 0.5) -> None:
-        self.item = frame["item"].tolist()
-        self.question = [np.asarray(x, np.int64).view(np.uint64) for x in frame["question"]]
-        self.answer = [np.asarray(x, np.int64).view(np.uint64) for x in frame["answer"]]
-        lengths = [len(x) for x in frame["terms"]]
-        terms = np.concatenate([np.zeros(0, np.int64), *frame["terms"]]).astype(np.int64).view(np.uint64)
-        weights = np.concatenate([np.zeros(0), *frame["weights"]])
+    def __init__(self, held: pa.Table, threshold: float = 0.5) -> None:
+        self.item = held["item"].combine_chunks()
+        #: Parts of one id, or of one item where the id is null, are one owner.
+        owners: dict[tuple, int] = {}
+        names = zip(self.item.to_pylist(), held["number"].to_pylist())
+        self.owner = [owners.setdefault((number if item is None else "", item), len(owners)) for item, number in names]
+        self.question, self.answer = ([np.array(x.as_py(), np.int64).view(np.uint64) for x in held[c]]
+                                      for c in ("question", "answer"))
+        lengths = [len(x) for x in held["terms"]]
+        terms = held["terms"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        weights = held["weights"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         parts = np.repeat(np.arange(len(lengths)), lengths)
         order = np.lexsort((parts, terms))
         self.vocabulary, first = np.unique(terms[order], return_index=True)
@@ -217,16 +246,17 @@ class _Index:
             c[0] = own[c[1]] if c[1] < len(own) else len(self.item)
 
 
-def _searcher(index: _Index, threshold: float, overlap: float):
+def _searcher(shared, mark: str, threshold: float, overlap: float):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            index = _read(shared, mark, threshold)
             for piece in pieces(batch, "body", 1 << 20):
                 found = list(_found(piece, index, threshold, overlap))
                 if found:
-                    at, *columns = zip(*found)
-                    kinds = (pa.int64(), pa.float64(), pa.int32(), pa.float64(), pa.float64())
+                    at, part, *columns = zip(*found)
+                    kinds = (pa.float64(), pa.int32(), pa.float64(), pa.float64())
                     yield pa.RecordBatch.from_arrays(
-                        [piece.column("doc").take(pa.array(at)), *(pa.array(c, t) for c, t in zip(columns, kinds))],
+                        [piece.column("doc").take(pa.array(at)), index.item.take(pa.array(part)), *(pa.array(c, t) for c, t in zip(columns, kinds))],
                         names=["doc", "item", "score", "n_passages", "question_overlap", "answer_overlap"])
 
     return search
@@ -248,15 +278,15 @@ def _found(piece: pa.RecordBatch, index: _Index, threshold: float, overlap: floa
         own = np.unique(terms[start : min(start + PASSAGE_WORDS, words.first[d + 1])])
         own = own[own >= 0]
         for part, score in index.search(own.tolist(), threshold):
-            entry = best.setdefault((d, index.item[part]), [0.0, 0, set()])
+            entry = best.setdefault((d, index.owner[part]), [0.0, 0, set()])
             entry[0], entry[1] = max(entry[0], score), entry[1] + 1
             entry[2].add(part)
-    for (d, item), (score, passages, parts) in best.items():
+    for (d, _), (score, passages, parts) in best.items():
         own = hashes[words.first[d] : words.first[d + 1]]
         shares = max(([_share(wanted, own) for wanted in (index.question[part], index.answer[part])]
                       for part in sorted(parts)), key=min)
         if min(shares) >= overlap:
-            yield d, item, score, passages, *shares
+            yield d, min(parts), score, passages, *shares
 
 
 def _promising(words, terms: np.ndarray, index: _Index, threshold: float, steps: np.ndarray,

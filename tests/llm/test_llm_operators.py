@@ -267,6 +267,20 @@ def test_decontamination_finds_truncated_and_edited_items(spark, monkeypatch, po
     assert {(r["doc_id"], r["item_id"]) for r in got} == expected
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "null"])
+@pytest.mark.parametrize("times", [1, 2, 3])
+def test_decontamination_with_repeated_null_and_text_ids(spark, times, kind):
+    rng = random.Random(times)
+    items = [(i, sentence(rng, rng.randrange(15, 110), 5000)) for i in range(40)]
+    ident = {"long": lambda i: i, "string": "item {}".format, "null": lambda i: None}[kind]
+    rows = [[i, f"{sentence(rng, 30, 5000)} {text} {sentence(rng, 30, 5000)}", "en", "s"] for i, text in items]
+    bench = spark.createDataFrame([(ident(i), text) for i, text in items] * times,
+                                  f"item_id {'string' if kind == 'string' else 'long'}, text string")
+    got = decontamination.contaminated(frame(spark, rows), bench)
+    assert dict(got.dtypes)["item_id"] == dict(bench.dtypes)["item_id"]
+    assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(i, ident(i)) for i, _ in items]
+
+
 def test_decontamination_with_a_low_threshold(spark):
     items = [(i, " ".join(["the", "of", "and", "to", *(f"w{i}x{j}" for j in range(4))])) for i in range(30)]
     bench = spark.createDataFrame([(*x, "d", 1.0) for x in items], ITEMS)
@@ -293,13 +307,13 @@ def test_decontamination_of_nothing(none, spark):
 
 
 def test_wand_finds_what_a_full_scan_finds():
-    import pandas as pd
     rng = np.random.default_rng(2)
     terms = [np.unique(rng.zipf(1.3, 30) % 200).astype(np.int64) for _ in range(300)]
     weights = [w / w.sum() for w in (rng.random(len(t)) for t in terms)]
     nothing = [np.zeros(0, np.int64)] * 300
-    index = decontamination._Index(pd.DataFrame({"item": range(300), "terms": terms, "weights": weights,
-                                                 "question": nothing, "answer": nothing}))
+    index = decontamination._Index(pa.table({
+        "number": [str(k) for k in range(300)], "item": range(300), "terms": terms, "weights": weights,
+        "question": pa.array(nothing, pa.list_(pa.int64())), "answer": pa.array(nothing, pa.list_(pa.int64()))}))
     for _ in range(60):
         query = np.unique(rng.zipf(1.3, 40) % 200).astype(np.uint64)
         own = index.terms_of(query)
