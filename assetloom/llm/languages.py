@@ -80,10 +80,13 @@ def _sampled(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) ->
         place = F.row_number().over(Window.partitionBy(*keys).orderBy("rank"))
         narrow = narrow.withColumn("n", place).where(F.col("n") <= size)
     fitted = F.when(F.col("n") <= SAMPLE, F.col("rank"))
-    last = narrow.groupBy("lang").agg(F.max("rank").alias("last"), F.max(fitted).alias("fitted_last"))
-    some = rows.join(last, "lang").where(F.col("rank") <= F.col("last"))
-    return checkpointed(some.groupBy("lang", "rank").agg(
-        F.min("body").alias("body"), (F.col("rank") <= F.min("fitted_last")).alias("fitted")))
+    last = narrow.groupBy("lang").agg(F.max("rank").alias("last"), F.max(fitted).alias("fitted")).collect()
+    if not last:
+        return rows.where("false").withColumn("fitted", F.lit(True))
+    up_to, of_fitted = (F.create_map(*[F.lit(x) for r in last for x in (r["lang"], r[c])]) for c in ("last", "fitted"))
+    some = rows.where(F.col("rank") <= up_to[F.col("lang")])
+    return checkpointed(some.groupBy("lang", "rank").agg(F.min("body").alias("body")).withColumn(
+        "fitted", F.col("rank") <= of_fitted[F.col("lang")]))
 
 
 def _fitted(labelled: DataFrame, id_col: str, text_col: str, lang_col: str):
@@ -188,7 +191,7 @@ def _scorer(languages: list[str], machines: list[tuple], keep_body: bool = False
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "body"):
+            for piece in pieces(batch, "body", 1 << 20):
                 n = piece.num_rows
                 written = piece.column("written").to_numpy(zero_copy_only=False)
                 picked, sure = np.zeros(n, np.int64), np.ones(n)
