@@ -35,8 +35,8 @@ from assetloom.llm.words import (
 )
 from assetloom.session import checkpointed
 
-BUCKET_BYTES = 8 << 20
-BUCKET_LIMIT = 24 << 20
+BUCKET_BYTES = 4 << 20
+BUCKET_LIMIT = 10 << 20
 #: Packed strings hold about this many times the bytes of the texts.
 OVERLAP = 3
 
