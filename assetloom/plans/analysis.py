@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from assetloom.functions import names, text
-from assetloom.operators import contracts, curation, events, graph, profiles, states, usage, vectors
+from assetloom.operators import contracts, curation, events, graph, lineage, profiles, states, usage, vectors
 from assetloom.operators.contracts import ColumnSpec, Contract, Rule
 from assetloom.plans.registry import query, table
 from assetloom.plans.run_log import (
@@ -126,6 +126,73 @@ def lineage_events(spark, sf):
     return events.lineage_events(log(spark, sf), "prod")
 
 
+@query(f"""WITH {LOG_SQL},
+    edges AS (SELECT DISTINCT asset, 'asset' || i AS input FROM log, LATERAL (SELECT unnest([k * 3 % 11, (k + 1) % 11]) AS i)),
+    sets AS (SELECT asset, string_agg(DISTINCT input, ',' ORDER BY input) AS inputs FROM edges GROUP BY asset)
+    SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time,
+      CASE WHEN event_type IN ('RUN_START', 'STEP_START', 'ASSET_MATERIALIZATION_PLANNED') THEN 'START'
+           WHEN event_type IN ('RUN_SUCCESS', 'STEP_SUCCESS', 'ASSET_MATERIALIZATION') THEN 'COMPLETE'
+           WHEN event_type IN ('RUN_FAILURE', 'STEP_FAILURE', 'ASSET_FAILED_TO_MATERIALIZE') THEN 'FAIL'
+           WHEN event_type = 'RUN_CANCELED' THEN 'ABORT' END AS event_type,
+      CASE WHEN event_type = 'ASSET_OBSERVATION' THEN NULL WHEN event_type LIKE 'STEP%' THEN run_id || '.' || step_key
+           ELSE run_id END AS run_id,
+      CASE WHEN event_type LIKE 'STEP%' THEN run_id || ' of prod.' || job_name END AS parent,
+      CASE WHEN event_type IN ('ASSET_MATERIALIZATION', 'ASSET_FAILED_TO_MATERIALIZE') AND event_id % 3 = 0 THEN
+        strftime(date_trunc('day', ts), '%Y-%m-%dT%H:%M:%S.%fZ') || ' to '
+        || strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S.%fZ') END AS nominal,
+      CASE WHEN event_type = 'ASSET_FAILED_TO_MATERIALIZE' AND event_id % 5 > 0 THEN 'value ' || event_id % 5 END AS error,
+      CASE WHEN event_type = 'ASSET_OBSERVATION' THEN NULL WHEN event_type LIKE 'ASSET%' THEN asset
+           WHEN event_type LIKE 'STEP%' THEN job_name || '.' || step_key ELSE job_name END AS job,
+      CASE WHEN event_type = 'ASSET_MATERIALIZATION' THEN inputs END AS inputs,
+      CASE WHEN event_type LIKE 'ASSET%' AND event_type <> 'ASSET_OBSERVATION' THEN asset END AS output,
+      CASE WHEN event_type = 'ASSET_OBSERVATION' THEN asset END AS dataset,
+      CASE WHEN event_type IN ('ASSET_MATERIALIZATION', 'ASSET_OBSERVATION') AND event_id % 2 = 0
+           THEN 'user_id bigint, value double of purchases' END AS fields,
+      CASE WHEN event_type IN ('ASSET_MATERIALIZATION', 'ASSET_OBSERVATION') AND event_id % 4 = 1
+           THEN CASE WHEN k % 2 = 0 THEN 'prod.raw.amount' ELSE '' END END AS value_from,
+      CASE WHEN event_type IN ('ASSET_MATERIALIZATION', 'ASSET_OBSERVATION') AND k % 7 > 0
+           THEN 'file:///data/' || k % 7 END AS uri
+    FROM log LEFT JOIN sets USING (asset) WHERE event_type NOT LIKE 'ASSET_CHECK%'""")
+def lineage_json(spark, sf):
+    """The documents, read again from their JSON text."""
+    rows = log(spark, sf)
+    k, even = F.col("k"), F.col("event_id") % 2 == 0
+    field = lambda *x: F.struct(*[F.lit(v).cast("string").alias(c) for v, c in zip(x, ("name", "type", "description"))])
+    dep = lambda asset, column: F.struct(F.lit(asset).alias("asset"), column.cast("string").alias("column"))
+    deps = F.create_map(F.lit("value"), F.array(
+        dep("raw", F.when(k % 2 == 0, "amount")), dep("all", F.lit(None))))
+    rich = rows.withColumns({
+        "schema": F.when(even, F.array(field("user_id", "bigint", None), field("value", "double", "purchases"))),
+        "column_deps": F.when(F.col("event_id") % 4 == 1, deps),
+        "uri": F.when(k % 7 > 0, F.concat(F.lit("file:///data/"), k % 7)).otherwise(""),
+        "message": F.when(F.col("event_id") % 5 > 0, F.concat(F.lit("value "), F.col("event_id") % 5))})
+    number = rows.groupBy("asset").agg(F.collect_set("k").alias("ks"))
+    edges = number.select("asset", F.explode("ks").alias("k")).select("asset", F.explode(F.array(
+        F.concat(F.lit("asset"), k * 3 % 11), F.concat(F.lit("asset"), (k + 1) % 11))).alias("input")).distinct()
+    v = F.parse_json("event")
+    text = lambda path, kind="string": F.try_variant_get(F.col("v"), path, kind)
+    joined = lambda path: F.array_join(text(path, "array<struct<name: string>>")["name"], ",")
+    facets = F.coalesce(text("$.outputs[0].facets", "variant"), text("$.dataset.facets", "variant"))
+    fields = F.try_variant_get(F.col("f"), "$.schema.fields", "array<struct<name: string, type: string, description: string>>")
+    value_from = F.try_variant_get(F.col("f"), "$.columnLineage.fields.value.inputFields",
+                                   "array<struct<namespace: string, name: string, field: string>>")
+    return lineage.lineage_documents(rich, "prod", edges).select("event_id", v.alias("v")).withColumn("f", facets).select(
+        "event_id", text("$.eventTime").alias("event_time"), text("$.eventType").alias("event_type"),
+        text("$.run.runId").alias("run_id"),
+        F.concat(text("$.run.facets.parent.run.runId"), F.lit(" of "), text("$.run.facets.parent.job.namespace"), F.lit("."),
+                 text("$.run.facets.parent.job.name")).alias("parent"),
+        F.concat(text("$.run.facets.nominalTime.nominalStartTime"), F.lit(" to "),
+                 text("$.run.facets.nominalTime.nominalEndTime")).alias("nominal"),
+        text("$.run.facets.errorMessage.message").alias("error"), text("$.job.name").alias("job"),
+        joined("$.inputs").alias("inputs"), text("$.outputs[0].name").alias("output"),
+        text("$.dataset.name").alias("dataset"),
+        F.array_join(F.transform(fields, lambda x: F.concat_ws(" of ", F.concat_ws(" ", x["name"], x["type"]),
+                                                               x["description"])), ", ").alias("fields"),
+        F.array_join(F.transform(value_from, lambda x: F.concat_ws(".", x["namespace"], x["name"], x["field"])), ",")
+        .alias("value_from"),
+        F.try_variant_get(F.col("f"), "$.dataSource.uri", "string").alias("uri"))
+
+
 @query("""SELECT 'user' || user_id AS output_asset, x.c AS output_column, 'prod' AS namespace, x.a AS input_asset,
                  x.i AS input_column FROM events, LATERAL (
             SELECT 'value' AS c, event_type AS a, 'value' AS i
