@@ -8,10 +8,10 @@ from assetloom.operators import usage
 from assetloom.operators.tables import AssetTable
 from assetloom.plans.analysis import _PATTERNS, _missing_sql, _ENDS
 from assetloom.plans.registry import query, table
-from assetloom.plans.run_log import ACTIONS_SQL, USAGE_SQL, actions, check_specs, run_log, usage_log
+from assetloom.plans.run_log import ACTIONS_SQL, LOG_SQL, USAGE_SQL, actions, check_specs, run_log, usage_log
 from assetloom.plans.storage import DAILY, fresh
 from assetloom.session import scratch
-from assetloom.streaming import aggregates, files, runs, sinks
+from assetloom.streaming import aggregates, files, late, runs, sinks
 
 
 def _stream(spark, sf, name, max_files=None):
@@ -22,6 +22,20 @@ def _stream(spark, sf, name, max_files=None):
     return df.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in df.columns else df
 
 
+def _in_batches(spark, sf, name, key, n=6):
+    """A table as a stream of n batches in order of a key: one stored folder after the other, one file a batch."""
+    rows = table(spark, sf, name)
+    bounds = rows.agg(F.percentile_approx(key, [k / n for k in range(1, n)], 1000)).first()[0] or []
+    path, lower = scratch(spark, f"{name}-batches"), None
+    for k, upper in enumerate([*bounds, None]):
+        some = F.lit(True) if lower is None else F.col(key) > lower
+        some = some if upper is None else some & (F.col(key) <= upper)
+        rows.where(some).coalesce(1).write.parquet(f"{path}/{k}")
+        lower = upper
+    df = files.stream_parquet(spark, f"{path}/*", rows.schema, 1)
+    return df.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in df.columns else df
+
+
 def _ntz(df, *columns):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
@@ -41,8 +55,9 @@ def stream_tail(spark, sf):
 
 @query(_missing_sql(_ENDS, _ENDS))
 def stream_missing_as_failed(spark, sf):
+    """Over six batches; no run is silent for so long that a timer would report it."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", runs.STATE_PROVIDER)
-    failures = runs.missing_as_failed_stream(run_log(_stream(spark, sf, "events")))
+    failures = runs.missing_as_failed_stream(run_log(_in_batches(spark, sf, "events", "event_id")), idle="90 days")
     out = _drained(spark, failures, "failures")
     rows = out.read(allow_missing=True, schema=failures.schema).drop("message")
     return _ntz(rows, "end_ts")
@@ -97,3 +112,41 @@ def stream_usage(spark, sf):
     sink = sinks.table_sink(out, "usage", "upsert", ["asset", "provider"])
     files.drain(totals, scratch(spark, "usage-checkpoint"), sink, "update")
     return out.read()
+
+
+@query(f"""WITH {LOG_SQL},
+    a AS (SELECT *, coalesce(sum((event_type IN {_ENDS})::INT) OVER (PARTITION BY run_id ORDER BY event_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run_no FROM log),
+    ends AS (SELECT run_id, count(*) AS n FROM log WHERE event_type IN {_ENDS} GROUP BY 1),
+    b AS (SELECT *, coalesce(sum((event_type <> 'STEP_START')::INT) OVER (PARTITION BY run_id, run_no, step_key
+                    ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS span_no
+          FROM a WHERE event_type LIKE 'STEP%'),
+    steps AS (SELECT 'step' AS kind, run_id, run_no::BIGINT AS run_no, step_key, span_no::BIGINT AS span_no,
+           min(ts) FILTER (WHERE event_type = 'STEP_START') AS started,
+           max(ts) FILTER (WHERE event_type <> 'STEP_START') AS finished,
+           max(event_type) FILTER (WHERE event_type <> 'STEP_START') AS outcome,
+           count(*) FILTER (WHERE event_type = 'STEP_START') AS n_starts
+    FROM b GROUP BY ALL)
+    SELECT steps.* FROM steps LEFT JOIN ends USING (run_id) WHERE outcome IS NOT NULL OR run_no < n
+    UNION ALL SELECT 'run', run_id, run_no::BIGINT, NULL, NULL, min(ts) FILTER (WHERE event_type = 'RUN_START'),
+           max(ts) FILTER (WHERE event_type IN {_ENDS}), max(event_type) FILTER (WHERE event_type IN {_ENDS}), NULL
+    FROM a WHERE event_type = 'RUN_START' OR event_type IN {_ENDS} GROUP BY run_id, run_no
+    HAVING max(event_type) FILTER (WHERE event_type IN {_ENDS}) IS NOT NULL""")
+def stream_spans(spark, sf):
+    """Live spans over six batches: those that have ended."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", runs.STATE_PROVIDER)
+    spans = runs.span_stream(run_log(_in_batches(spark, sf, "events", "event_id")), idle="90 days")
+    out = _drained(spark, spans, "spans")
+    return _ntz(out.read(allow_missing=True, schema=spans.schema), "started", "finished")
+
+
+@query("SELECT event_id, user_id FROM events")
+def stream_late_rows(spark, sf):
+    """Rows in time and late rows of six batches in an order unlike that of time: together they are all rows."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", runs.STATE_PROVIDER)
+    rows = _in_batches(spark, sf, "events", "value").select("event_id", "user_id", "ts")
+    kept, behind = fresh(spark, "in_time"), fresh(spark, "late")
+    sink = late.late_sink(sinks.table_sink(kept, "in-time"), behind, "late")
+    files.drain(late.split_late(rows, "ts", "1 day", ["event_id"]), scratch(spark, "late-checkpoint"), sink)
+    parts = [t.read(allow_missing=True, schema=rows.schema) for t in (kept, behind)]
+    return parts[0].unionByName(parts[1]).select("event_id", "user_id")

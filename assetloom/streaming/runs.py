@@ -9,19 +9,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from assetloom.operators.events import ASSET_FAILED, MATERIALIZED, PLANNED, RUN_ENDS
+from assetloom.operators.events import (
+    ASSET_FAILED,
+    MATERIALIZED,
+    PLANNED,
+    RUN_ENDS,
+    RUN_START,
+    STEP_FAILURE,
+    STEP_START,
+    STEP_SUCCESS,
+)
 from assetloom.session import shuffle_partitions
 
 OUTPUT = "run_id string, asset string, end_id bigint, end_ts timestamp, end_type string, message string"
 MESSAGE = "planned for the run, which ended before it was materialized"
+IDLE, IDLE_MESSAGE = "IDLE", "planned for the run, which has been silent since"
+SPANS = ("kind string, run_id string, run_no bigint, step_key string, span_no bigint, started timestamp, "
+         "finished timestamp, outcome string, n_starts bigint")
 # Fixed value: the provider Spark's arbitrary stateful operators need.
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class PendingAssets(StatefulProcessor):
     """State per run: a list of (asset, still planned) changes, latest last. A run's closing event
-    reports the assets still planned and clears the list; a run silent for ``idle_ms`` of event time
-    is dropped by a timer. Per batch a run costs a handful of state calls, whatever its events."""
+    reports the assets still planned and clears the list; for a run silent for ``idle_ms`` of event time a
+    timer reports them, with the last event's id and time. Per batch a run costs a handful of state calls,
+    whatever its events, and one without planned assets has no state."""
 
     def __init__(self, closing: Sequence[str], failing: Sequence[str], idle_ms: int, compact_at: int = 1000):
         self.closing, self.failing = tuple(closing), tuple(failing)
@@ -30,7 +43,7 @@ class PendingAssets(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.changes = handle.getListState("changes", "asset string, planned boolean")
-        self.last = handle.getValueState("last", "event_id bigint, idle_at bigint, n_changes int, n_kept int")
+        self.last = handle.getValueState("last", "event_id bigint, idle_at bigint, n_changes int, n_kept int, ts timestamp")
 
     def _stored(self) -> dict[str, bool]:
         return dict(tuple(row) for row in self.changes.get())
@@ -39,12 +52,13 @@ class PendingAssets(StatefulProcessor):
         frames = list(rows)
         if not frames:
             return
-        seen, idle_at, n_stored, n_kept = self.last.get() or (-1, -1, 0, 0)
+        known_run = self.last.get()
+        seen, idle_at, n_stored, n_kept, _ = known_run or (-1, -1, 0, 0, None)
         found = {}
         for f in frames:
             columns = (f[c].tolist() for c in ("event_id", "ts", "asset", "event_type"))
             found.update((row[0], row) for row in zip(*columns) if row[0] > seen)  # others were played before
-        if not found:
+        if not found or not known_run and all(row[3] in self.closing for row in found.values()):
             return
         new: dict[str, bool] = {}
         out = []
@@ -65,37 +79,145 @@ class PendingAssets(StatefulProcessor):
             n_stored, n_kept = 0, len(new)
         if new:
             self.changes.appendList(list(new.items()))
-        latest = int(max(row[1] for row in found.values()).timestamp() * 1000)
-        if latest + self.idle_ms > idle_at:  # the timer lies ahead, so that it seldom has to move
-            if idle_at >= 0:
-                self.handle.deleteTimer(idle_at)
-            idle_at = latest + self.idle_ms * 3 // 2
-            self.handle.registerTimer(idle_at)
-        self.last.update((max(found), idle_at, n_stored + len(new), n_kept))
+        latest = max(row[1] for row in found.values())
+        idle_at = _moved_timer(self.handle, idle_at, latest, self.idle_ms)
+        self.last.update((max(found), idle_at, n_stored + len(new), n_kept, latest.to_pydatetime()))
         if out:
             yield pd.DataFrame(out, columns=["run_id", "asset", "end_id", "end_ts", "end_type", "message"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        event_id, _, _, _, ts = self.last.get()
+        out = [(key[0], a, event_id, ts, IDLE, IDLE_MESSAGE) for a, planned in self._stored().items() if planned]
         self.changes.clear()
         self.last.clear()
-        return iter(())
+        if out:
+            yield pd.DataFrame(out, columns=["run_id", "asset", "end_id", "end_ts", "end_type", "message"])
+
+    def close(self) -> None:
+        pass
+
+
+def _moved_timer(handle: StatefulProcessorHandle, idle_at: int, latest: pd.Timestamp, idle_ms: int) -> int:
+    """When the timer fires; it lies ahead, so that it seldom has to move."""
+    now = int(latest.timestamp() * 1000)
+    if now + idle_ms <= idle_at:
+        return idle_at
+    if idle_at >= 0:
+        handle.deleteTimer(idle_at)
+    idle_at = now + idle_ms * 3 // 2
+    handle.registerTimer(idle_at)
+    return idle_at
+
+
+class RunSpans(StatefulProcessor):
+    """State per run and shard of its steps: a map of the steps seen since the run's last end (when started, how
+    often, spans closed) and one row for the run itself. A finish closes the step's span, the end of the run all
+    that are open and the run; for a run silent for ``idle_ms`` of event time a timer reports what is open as
+    idle, and the run is forgotten."""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.steps = handle.getMapState("steps", "step_key string", "started timestamp, n_starts bigint, span_no bigint")
+        self.run = handle.getValueState("run", "event_id bigint, idle_at bigint, run_no bigint, started timestamp")
+
+    def _open_steps(self, run_id: str, run_no: int, steps: dict, outcome: str | None) -> list[tuple]:
+        return [("step", run_id, run_no, step, span_no, started, None, outcome, n)
+                for step, (started, n, span_no) in steps.items() if n]
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frames = list(rows)
+        if not frames:
+            return
+        seen, idle_at, run_no, run_started = self.run.get() or (-1, -1, 0, None)
+        found = {}
+        for f in frames:
+            columns = (f[c].tolist() for c in ("event_id", "ts", "step_key", "event_type"))
+            found.update((row[0], row) for row in zip(*columns) if row[0] > seen)  # others were played before
+        if not found:
+            return
+        run_id, whole_run, out = key[0], key[1] == 0, []
+        held = {k[0]: tuple(v) for k, v in self.steps.iterator()}
+        steps = dict(held)
+        for _, ts, step, kind in (found[i] for i in sorted(found)):
+            if kind in RUN_ENDS:
+                out += self._open_steps(run_id, run_no, steps, None)
+                if whole_run:
+                    out.append(("run", run_id, run_no, None, None, run_started, ts, kind, None))
+                steps, run_started, run_no = {}, None, run_no + 1
+            elif kind == RUN_START:
+                run_started = ts if run_started is None else min(run_started, ts)
+            else:
+                started, n, span_no = steps.get(step, (None, 0, 0))
+                if kind == STEP_START:
+                    steps[step] = (ts if started is None else min(started, ts), n + 1, span_no)
+                else:
+                    out.append(("step", run_id, run_no, step, span_no, started, ts, kind, n))
+                    steps[step] = (None, 0, span_no + 1)
+        for step in held.keys() - steps.keys():
+            self.steps.removeKey((step,))
+        for step, value in steps.items():
+            if held.get(step) != value:
+                self.steps.updateValue((step,), value)
+        idle_at = _moved_timer(self.handle, idle_at, max(row[1] for row in found.values()), self.idle_ms)
+        self.run.update((max(found), idle_at, run_no, run_started))
+        if out:
+            yield _spans(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        _, _, run_no, run_started = self.run.get()
+        out = self._open_steps(key[0], run_no, {k[0]: tuple(v) for k, v in self.steps.iterator()}, IDLE)
+        if key[1] == 0 and run_started is not None:
+            out.append(("run", key[0], run_no, None, None, run_started, None, IDLE, None))
+        self.steps.clear()
+        self.run.clear()
+        if out:
+            yield _spans(out)
 
     def close(self) -> None:
         pass
 
 
+def _spans(rows: list[tuple]) -> pd.DataFrame:
+    names = [c.split()[0] for c in SPANS.split(", ")]
+    frame = pd.DataFrame(rows, columns=names)
+    times = {c: pd.to_datetime(frame[c]) for c in ("started", "finished")}
+    whole = {c: frame[c].astype("Int64") for c in ("run_no", "span_no", "n_starts")}
+    return frame.assign(**times, **whole)
+
+
+def span_stream(log: DataFrame, idle: str = "7 days", late: str = "1 day", shards: int = 1) -> DataFrame:
+    """Streaming form of ``operators.events.step_spans`` and ``run_spans`` (``kind`` tells them apart) for events that
+    arrive in id order per run: a span comes out when it ends, or as ``IDLE`` when its run has been silent for
+    ``idle`` to half as long again. With ``shards`` a run's steps are split into so many states, to each of which its
+    ends go, for runs that hold a large part of the events; each state then judges by its own events whether the run
+    is silent."""
+    kind = F.col("event_type")
+    rows = log.withWatermark("ts", late).where(kind.isin(RUN_START, STEP_START, STEP_SUCCESS, STEP_FAILURE, *RUN_ENDS))
+    own = F.array(F.pmod(F.xxhash64("step_key"), F.lit(shards)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(shards - 1))
+    place = F.when(kind.isin(*RUN_ENDS), every).when(kind == RUN_START, F.array(F.lit(0))).otherwise(own)
+    rows = rows.select("run_id", "event_id", "ts", "step_key", "event_type", F.explode(place).alias("shard"))
+    return rows.groupBy("run_id", "shard").transformWithStateInPandas(
+        statefulProcessor=RunSpans(int(pd.Timedelta(idle).total_seconds() * 1000)), outputStructType=SPANS,
+        outputMode="append", timeMode="EventTime")
+
+
 def missing_as_failed_stream(log: DataFrame, closing: Sequence[str] = RUN_ENDS, failing: Sequence[str] | None = None,
                              idle: str = "7 days", late: str = "1 day", shards: int | None = None) -> DataFrame:
     """Streaming form of ``operators.events.missing_as_failed`` for events that arrive in id order
     per run. The session uses the RocksDB state store (``STATE_PROVIDER``).
 
-    State is bounded by event time: rows later than ``late`` are left out, a run silent for ``idle``
-    to half as long again is forgotten. A run is split by asset into ``shards`` states (more on a
-    larger cluster) and its closing events go to each, so one run that holds most of the events is
-    worked on by many tasks.
+    State is bounded by event time: rows later than ``late`` are left out (``late.split_late`` keeps and counts
+    them), and of a run silent for ``idle`` to half as long again the assets still planned come out as ``IDLE``.
+    Time moves on with the events used here, as Spark filters the others out first.
+    A run is split by asset into ``shards`` states (more on a larger cluster) and its closing events go to each,
+    so one run that holds most of the events is worked on by many tasks.
     """
     failing = tuple(closing if failing is None else failing)
-    shards = shards or max(1, min(16, shuffle_partitions(log.sparkSession) // 4))
+    shards = shards or max(1, shuffle_partitions(log.sparkSession) // 4)
     kind = F.col("event_type")
     rows = log.withWatermark("ts", late).where(kind.isin(PLANNED, MATERIALIZED, ASSET_FAILED, *closing))
     own = F.array(F.pmod(F.xxhash64("asset"), F.lit(shards)).cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assetloom.operators import events as ev
 from assetloom.operators.slices import LayoutField, TimeDim
 from assetloom.operators.tables import AssetTable
-from assetloom.streaming import aggregates, files, runs, sinks
+from assetloom.streaming import aggregates, files, late, runs, sinks
 from compare import values
 from test_events import make_log, random_rows
 
@@ -127,3 +127,66 @@ def test_windows_equal_batch(spark, root):
     daily = aggregates.windowed(files.stream_parquet(spark, f"{root}/in", batch.schema), "ts", "1 day", [], aggs, "1 hour")
     files.drain(daily, f"{root}/ck", sinks.table_sink(out, "q", "upsert", ["window_start"]), "update")
     assert values(out.read()) == values(aggregates.windowed(batch, "ts", "1 day", [], aggs, "1 hour"))
+
+
+def in_files(spark, root, rows, schema, size):
+    """One file after the other, each a batch of the stream."""
+    for n in range(0, len(rows), size):
+        spark.createDataFrame(rows[n : n + size], schema).coalesce(1).write.parquet(f"{root}/in/{n:04}")
+    return files.stream_parquet(spark, f"{root}/in/*", spark.createDataFrame([], schema).schema, max_files=1)
+
+
+def test_spans_in_many_batches(spark, root):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", runs.STATE_PROVIDER)
+    log = make_log(spark, random_rows(360)).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = [tuple(r) for r in log.orderBy("event_id").collect()]
+    stream = in_files(spark, root, rows, log.schema, 60)
+    out = AssetTable(spark, root, "spans")
+    files.drain(runs.span_stream(stream, shards=3), f"{root}/ck", sinks.table_sink(out, "q"))
+    ended = log.where(F.col("event_type").isin(*ev.RUN_ENDS)).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+    steps = ev.step_spans(log).join(ended, "run_id", "left").where("outcome IS NOT NULL OR run_no < n")
+    columns = ["run_id", "run_no", "step_key", "span_no", "started", "finished", "outcome", "n_starts"]
+    got = out.read()
+    assert values(got.where("kind = 'step'"), *columns) == values(steps, *columns)
+    columns = ["run_id", "run_no", "started", "finished", "outcome"]
+    assert values(got.where("kind = 'run'"), *columns) == values(ev.run_spans(log).where("outcome IS NOT NULL"), *columns)
+
+
+def test_silent_runs_are_reported(spark, root):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", runs.STATE_PROVIDER)
+    day = lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    schema = "event_id long, ts timestamp, run_id string, job_name string, event_type string, step_key string, asset string"
+    rows = [(1, day(0), "silent", "j", ev.RUN_START, None, None), (2, day(0), "silent", "j", ev.STEP_START, "s", None),
+            (3, day(0.1), "silent", "j", ev.PLANNED, None, "a"), (4, day(0.1), "silent", "j", ev.MATERIALIZED, None, "b"),
+            (5, day(1), "live", "j", ev.RUN_START, None, None)]
+    for d in range(8):  # only events that an operator uses move its time on
+        rows += [(10 + 2 * d, day(1 + d), "live", "j", ev.STEP_START, "s", None),
+                 (11 + 2 * d, day(1 + d), "live", "j", ev.MATERIALIZED, None, "c")]
+    rows += [(30, day(9), "live", "j", ev.RUN_SUCCESS, None, None), (31, day(9), "silent", "j", ev.RUN_FAILURE, None, None)]
+    stream = in_files(spark, root, rows, schema, 3)
+    found = {}
+    for name, df in (("spans", runs.span_stream(stream, "2 days", "1 hour")),
+                     ("failures", runs.missing_as_failed_stream(stream, idle="2 days", late="1 hour", shards=2))):
+        found[name] = AssetTable(spark, root, name)
+        files.drain(df, f"{root}/ck-{name}", sinks.table_sink(found[name], name))
+    assert values(found["failures"].read(), "run_id", "asset", "end_id", "end_type") == [("silent", "a", 3, runs.IDLE)]
+    assert values(found["spans"].read(), "kind", "run_id", "step_key", "finished", "outcome", "n_starts") == [
+        ("run", "live", None, day(9), "RUN_SUCCESS", None), ("run", "silent", None, None, "IDLE", None),
+        ("run", "silent", None, day(9), "RUN_FAILURE", None), ("step", "live", "s", None, None, 8),
+        ("step", "silent", "s", None, "IDLE", 1)]
+
+
+def test_late_rows_are_kept_apart(spark, root):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", runs.STATE_PROVIDER)
+    day = lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    rows = [(1, day(0), "a"), (2, day(5), "a"), (3, day(1), "a"), (4, day(4.5), None), (5, None, "b"), (6, day(9), "b"),
+            (7, day(2), "a"), (8, day(8.5), "c"), (9, day(0), "d"), (10, day(30), "d"), (11, day(9), "d"), (12, day(29.5), "a")]
+    stream = in_files(spark, root, rows, "id int, ts timestamp, _shard string", 2)
+    kept, behind = AssetTable(spark, root, "kept"), AssetTable(spark, root, "late")
+    sink = late.late_sink(sinks.table_sink(kept, "k"), behind, "l")
+    files.drain(late.split_late(stream.withColumnRenamed("_shard", "k"), "ts", "1 day"), f"{root}/ck", sink)
+    # The watermark of a batch comes from the batches before it.
+    assert values(behind.read(), "id") == [(11,), (3,), (7,), (9,)]
+    assert values(kept.read(), "id") == [(1,), (10,), (12,), (2,), (4,), (5,), (6,), (8,)]
+    assert values(kept.read().where("id = 8"), "ts", "k") == [(day(8.5), "c")]
+    assert sum(r.n_rows or 0 for r in behind.history().collect()) == 4
