@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetloom.llm.words import buffer, gram_hashes, pieces, word_hashes, words_of
+from assetloom.llm.words import buffer, gram_hashes, pieces, small_batches, word_hashes, words_of
 from assetloom.session import checkpointed
 
 PART_WORDS, PASSAGE_WORDS = 48, 64
@@ -54,6 +54,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     With an answer column alone the question is the text without as many last characters. Without both columns
     ``question_overlap`` is that of the retrieved part which the document holds best, and ``answer_overlap`` is 1.
     """
+    small_batches(docs.sparkSession)
     body = F.coalesce(item_text_col, F.lit(""))
     answer = F.coalesce(answer_col, F.lit("")) if answer_col else F.lit("")
     question = F.coalesce(question_col, F.lit("")) if question_col else F.left(

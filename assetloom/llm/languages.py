@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetloom.llm.words import buffer, pieces
+from assetloom.llm.words import buffer, pieces, small_batches
 from assetloom.session import checkpointed
 
 SAMPLE = 500
@@ -50,6 +50,7 @@ def predict_language(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id
                      lang_col: str = "lang", keep_columns: bool = False) -> DataFrame:
     """Every row of ``docs`` (``id_col``, or with ``keep_columns`` all columns) with ``lang_pred``, ``score`` and
     ``accepted``: whether the text has a letter and scores as texts of the known languages do."""
+    small_batches(docs.sparkSession)
     languages, machines, floor = _fitted(labelled, id_col, text_col, lang_col)
     kept = docs.columns if keep_columns else [id_col]
     place = {c: f"row.c{k}" for k, c in enumerate(kept) if c != text_col or not keep_columns} | (

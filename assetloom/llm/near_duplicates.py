@@ -26,7 +26,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetloom.llm.components import components
-from assetloom.llm.words import Words, buffer, gram_hashes, mixed, pieces, single_spaced, streams, word_hashes, words_of
+from assetloom.llm.words import (
+    Words,
+    buffer,
+    gram_hashes,
+    mixed,
+    pieces,
+    single_spaced,
+    small_batches,
+    streams,
+    word_hashes,
+    words_of,
+)
 from assetloom.session import checkpointed
 
 REGISTERS = 128
@@ -38,6 +49,7 @@ BLOCK = 512
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                            threshold: float = 0.8) -> DataFrame:
     """``id_col``, ``class_id`` (smallest id of the class) of every row of ``docs``."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"))
     sketched = checkpointed(rows.where("doc IS NOT NULL").mapInArrow(
         _sketcher(n), "doc long, digest binary, bands array<long>"))

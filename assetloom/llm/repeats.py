@@ -29,6 +29,7 @@ from assetloom.llm.words import (
     pieces,
     single_spaced,
     sliding_minimum,
+    small_batches,
     window_hashes,
     word_hashes,
     words_of,
@@ -51,6 +52,7 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     A word goes if a window over it also starts in a document with a smaller id. With ``keep_columns`` the other columns
     come back too, in the same pass over the rows.
     """
+    small_batches(docs.sparkSession)
     rest = [c for c in docs.columns if c not in (id_col, text_col)] if keep_columns else []
     carried = [F.struct(F.col(id_col).alias("id"),
                         *[F.col(c).alias(f"c{k}") for k, c in enumerate(rest)]).alias("row")] if keep_columns else []

@@ -7,20 +7,42 @@ largest single text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 PIECE_BYTES = 4 << 20
+#: Rows of whole texts that travel to a task at a time, unless the session says otherwise.
+BATCH_ROWS = 2500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Words that are worked on at a time, which keeps the work space of a task small.
 _AT_ONCE = 1 << 16
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let whole texts travel in batches of ``BATCH_ROWS``, where the session has Spark's own 10,000 rows."""
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
+def _return_large_arrays() -> None:
+    """Let arrays of a megabyte and more go back to the system when they are freed, where the C library can."""
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)
+    except (OSError, AttributeError):
+        pass
+
+
+_return_large_arrays()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64)."""
     x = np.array(x, np.uint64, ndmin=1)
