@@ -189,4 +189,4 @@ def test_late_rows_are_kept_apart(spark, root):
     assert values(behind.read(), "id") == [(11,), (3,), (7,), (9,)]
     assert values(kept.read(), "id") == [(1,), (10,), (12,), (2,), (4,), (5,), (6,), (8,)]
     assert values(kept.read().where("id = 8"), "ts", "k") == [(day(8.5), "c")]
-    assert sum(r.n_rows or 0 for r in behind.history().collect()) == 4
+    assert sum(r.appended_rows or 0 for r in behind.history().collect()) == 4
