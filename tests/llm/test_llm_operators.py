@@ -8,6 +8,7 @@ import html
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -698,6 +699,73 @@ def test_tool_call_order_puts_every_call_after_what_it_needs(spark):
         assert got[f"c{k}"] == max((got[f"c{x}"] + 1 for x in before), default=0)
 
 
+@pytest.mark.parametrize("group", [200_000, 5])
+def test_tool_call_levels_of_random_graphs_and_chains(spark, monkeypatch, group):
+    monkeypatch.setattr(tool_calls, "GROUP", group)
+    rng = random.Random(group)
+    needs = {}
+    for conv in range(6):
+        for k in range(60):
+            near = range(max(0, k - 4), k) if conv < 4 else range(60)  # the last two hold cycles
+            needs[conv, k] = set(rng.sample(near, min(len(near), rng.choice([0, 1, 1, 1, 2]))))
+    for k in range(1000):
+        needs[9, k] = {k - 1} if k else set()
+    needs.update({(10, k): {(k + 1) % 40} for k in range(40)})
+    level, open_ = {}, set(needs)
+    while ready := {x for x in open_ if all((x[0], y) in level for y in needs[x])}:
+        level.update({x: max((level[x[0], y] + 1 for y in needs[x]), default=0) for x in ready})
+        open_ -= ready
+    refs = lambda ids: json.dumps({"q": "x", "after": [{"ref": f"c{x}"} for x in sorted(ids)]})
+    calls = spark.createDataFrame([(c, f"c{k}", 0, "f", refs(ids), "x") for (c, k), ids in needs.items()], CALLS)
+    schemas = spark.createDataFrame([("f", "{}")], "name string, schema string")
+    began = time.time()
+    got = tool_calls.link_tool_calls(calls, spark.createDataFrame([], RESULTS), schemas).collect()
+    assert time.time() - began < 60
+    assert {(r["conv_id"], int(r["call_id"][1:])): r["level"] for r in got} == {x: level.get(x) for x in needs}
+    assert {r["status"] for r in got if r["level"] is None} == {"cyclic"}
+
+
+def test_tool_calls_survive_any_value(spark):
+    values = {
+        "surrogate": (r'{"q":"\ud800"}', "$: unpaired surrogate"), "pair": (r'{"q":"\ud83d\ude00"}', ""),
+        "deep": ('{"q":' + "[" * 100_000, "$: nested deeper than 200"), "text": ('{"q":"' + "[" * 100_000 + '"}', ""),
+        "digits": ('{"q":"x","f":' + "9" * 400 + "}", ""), "more": ('{"q":"x","f":' + "9" * 5000 + "}", "$: number too long"),
+        "big": ('{"q":"x","f":1e400}', "$: number too large"), "long": ('{"q":"' + "é" * 3_000_000 + '"}', ""),
+        "ref": ('{"q":"x","ref":"ref"}', "$.ref: unknown"), "empty": ("", "$: not JSON"), "top": ('{"ref":"top"}', None)}
+    calls = spark.createDataFrame([(1, k, 0, "f", v[0], "x") for k, v in values.items()], CALLS)
+    results = spark.createDataFrame([(1, k, 1, "r", "x") for k in values], RESULTS)
+    schemas = spark.createDataFrame([("f", SCHEMA), (None, "{}")], "name string, schema string")
+    for r in tool_calls.link_tool_calls(calls, results, schemas).collect():
+        written, found = values[r["call_id"]]
+        assert found is None or r["problems"] == found, r["call_id"]
+        assert r["status"] == ("ok" if found == "" else "invalid_arguments") and r["level"] == 0
+        record = json.loads(r["record"]) if r["call_id"] != "digits" else {"arguments": json.loads(written)}
+        assert record["arguments"] == (json.loads(written) if found in ("", None, "$.ref: unknown") else written)
+
+
+@pytest.mark.parametrize("schema, value, found", [
+    (True, 5, []), (False, 5, ["$: not allowed"]), ({"items": False}, [1], ["$[0]: not allowed"]),
+    ({"enum": [1]}, True, ["$: not one of the values"]), ({"enum": [1]}, 1.0, []), ({"const": {"a": 1}}, {"a": 1.0}, []),
+    ({"anyOf": [{"type": "null"}, {"minimum": 3}]}, 2, ["$: anyOf"]), ({"oneOf": [{}, {"type": "string"}]}, "x", ["$: oneOf"]),
+    ({"allOf": [{"minimum": 1}, {"maximum": 3}]}, 2, []), ({"not": {"type": "string"}}, "x", ["$: not"]),
+    ({"exclusiveMaximum": 3, "type": "integer"}, 3.0, ["$: range"]), ({"maxItems": 1}, [1, 2], ["$: size"]),
+    ({"additionalProperties": {"type": "string"}}, {"k": 1}, ["$.k: not string"]), ({"minProperties": 1}, {}, ["$: size"])])
+def test_schema_keywords(schema, value, found):
+    assert tool_calls.usable(schema) and list(tool_calls.problems(value, schema)) == found
+
+
+def test_unusable_schemas(spark):
+    bad = ["{bad", "5", '{"type":"text"}', '{"items":[]}', '{"pattern":"a"}', '{"$ref":"#"}', '{"anyOf":[]}', '{"enum":1}',
+           '{"properties":{"a":{"zz":1}}}', '{"minLength":"1"}', '{"required":"a"}', "[" * 100_000, None]
+    schemas = spark.createDataFrame([(f"s{i}", s) for i, s in enumerate(bad)] + [("two", "{}"), ("two", "true"), ("one", "{}"),
+                                    ("one", "{}"), ("any", "true")], "name string, schema string")
+    names = [f"s{i}" for i in range(len(bad))] + ["two", "one", "any"]
+    calls = spark.createDataFrame([(1, n, 0, n, "{}", "x") for n in names], CALLS)
+    got = tool_calls.link_tool_calls(calls, spark.createDataFrame([], RESULTS), schemas).collect()
+    assert {r["call_id"]: r["status"] for r in got} == {
+        n: "missing_result" if n in ("one", "any") else "unusable_schema" for n in names}
+
+
 def test_canonical_json():
     assert tool_calls.canonical({"b": [1.0, 2.5, True, None], "a": {"z": "ü\n", "y": -0.0}}) == \
         '{"a":{"y":0,"z":"ü\\n"},"b":[1,2.5,true,null]}'
