@@ -569,6 +569,40 @@ def test_page_text_is_not_lost_to_names_or_teasers(page, text):
     assert page_text.extract(page) == text
 
 
+_COMMENTS = "".join(f"<li><p>Reader {i} says: I loved this, truly, and more of it please!</p></li>" for i in range(12))
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "comment-thread", "commentlist", "responses", "post-body replies"])
+def test_page_text_never_holds_reader_comments(name):
+    story = f"<p>{_LONG}</p>" * 3
+    for own in (_COMMENTS, _COMMENTS.replace("<p>", "<article class='comment-body'><p>").replace("</p>", "</p></article>")):
+        block = f"<ol class='{name}'>{own}</ol>"
+        for page in (f"<article>{story}</article>{block}", f"<div>{story}</div>{block}", f"<article>{story}{block}</article>",
+                     f"<div class='comments-wrapper'><article><h1>{_LONG}</h1><p>{_LONG}</p><p>{_LONG}</p></article>{block}</div>"):
+            assert page_text.extract(page) == " ".join([_LONG] * 3)
+    assert page_text.extract(f"<ol class='{name}'>{_COMMENTS}</ol>") == ""
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<form><article><p>{_LONG}</p></article><p>{_LONG} Tell us.</p></form>", _LONG),
+    (f"<form id=f><div><p>{_LONG}</p><p>{_LONG}</p></div><input></form>", f"{_LONG} {_LONG}"),
+    (f"<article><p>{_LONG}</p><form><p>{_LONG} Tell us.</p></form></article>", _LONG),
+    (f"<p>{_LONG}</p><form><p>{_LONG} Tell us.</p></form>", _LONG),
+    (f"<p>{_LONG}</p><div class=cookiebar><p>We use them.</p></div>", _LONG),
+])
+def test_page_text_of_forms(page, text):
+    assert page_text.extract(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<div>x" * 100_000, "<div class=ad>x" * 50_000, '<a "' * 100_000, '<a "x>"' * 100_000, "<!" * 100_000, "<x" * 100_000,
+    "<x>" * 50_000 + "<td>a</td>" * 50_000, "<div>x" * 50_000 + "</p>" * 50_000, "<a " + "b" * 300_000 + ">x", "<li>x" * 50_000])
+def test_page_text_takes_linear_time(page):
+    began = time.process_time()
+    page_text.extract(page)
+    assert time.process_time() - began < 5
+
+
 def test_page_rows(spark):
     rows = [(1, "u", "<article><p>é " + LONG + "</p></article>", "x"), (2, None, None, "x"), (None, "u", "", "x")]
     pages = spark.createDataFrame(rows + rows[:1], "page_id long, url string, html string, body string")
