@@ -2,10 +2,15 @@
 
 The words of a source, document after document, are cut into blocks of ``block`` words. Sources share all words by
 weight; a target stops at ``most`` times the size of its source and the excess is shared again by weight until no target
-is above. The mix has one slot for each block of the targets. Every slot falls to an output shard by its hash, so the
-source counts of a shard are a multinomial draw, under the condition that all shards together meet the targets. The i-th
-slot of a source takes the block that a pseudorandom permutation of the source's block numbers gives to i; each round
-through all blocks has another permutation. Slots and blocks join by source and number.
+is above. A source is taken whole as often as its target holds it; a last round takes blocks until the rest is met, and
+the slot that meets it is cut, so every source takes its target rounded to whole words. The i-th slot of a round takes the
+block that a pseudorandom permutation of the source's block numbers gives to i; each source and round has another one.
+One more permutation deals all slots to output shards of ``SHARD_SLOTS`` slots each, so the source counts of the shards are
+a multinomial draw under the condition that all shards together meet the targets. Slots and blocks join by source and
+number.
+
+The permutations are keyed Feistel networks over a grid barely larger than the numbers permuted; what falls outside walks
+on until it is inside, which happens to one in the square root of them.
 
 Scale: places in a source come from running totals within hashed chunks of about ``CHUNK_WORDS`` words plus the totals of
 the chunks before, so the largest source is numbered by many tasks. The only window over everything is over the list of
@@ -28,8 +33,8 @@ CHUNK_WORDS = 1 << 22
 SHARD_SLOTS = 8192
 WEIGHTS = (5, 2, 1)
 _SPAN = 1 << 16
-#: Primes above any number of blocks a source may have (2**31), so a step of one of them visits every block.
-_STEPS = (4294967291, 4294967279, 4294967231, 4294967197)
+#: Rounds of the Feistel networks, each of which changes both halves.
+_TURNS = 3
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -37,7 +42,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 seed: int = 1) -> tuple[DataFrame, DataFrame]:
     """The documents with ``size, source_size, target, taken``, and the slots of the mix.
 
-    A slot: ``shard, slot, source_no, block_no, round``. ``weights`` repeat over the sources in code point order.
+    A slot: ``shard, slot, source_no, block_no, round``, the ``words`` it takes of its block, from the first on, and the words
+    that the block holds (``full``). ``weights`` repeat over the sources in code point order.
     """
     rows = checkpointed(docs.select(
         F.col(id_col).alias("doc"), F.col(source_col).alias("source"), F.xxhash64(id_col, text_col).alias("row"),
@@ -46,9 +52,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slots = _slots(plan, block, seed)
     placed = checkpointed(_placed(rows, plan))
     pieces = _pieces(placed, block)
-    uses = slots.groupBy("source_no", "block_no").agg(F.count(F.lit(1)).alias("uses"))
+    uses = slots.groupBy("source_no", "block_no").agg(
+        F.count_if(F.col("words") == F.col("full")).alias("uses"),
+        F.max(F.when(F.col("words") < F.col("full"), F.col("words"))).alias("cut"))
+    cut = _first(F.coalesce("cut", F.lit(0)))
     taken = pieces.join(uses, ["source_no", "block_no"]).groupBy("source_no", "place").agg(
-        F.sum(F.col("words") * F.col("uses")).alias("taken"))
+        F.sum(F.col("words") * F.col("uses") + cut).alias("taken"))
     out = placed.join(taken, ["source_no", "place"], "left").unionByName(
         _with_plan(rows.where("size = 0"), plan), allowMissingColumns=True)
     return out.select(F.col("doc").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
@@ -63,13 +72,20 @@ def slot_pieces(docs: DataFrame, slots: DataFrame, id_col: str = "doc_id", text_
         F.col(id_col).alias("doc"), F.col(source_col).alias("source"), F.xxhash64(id_col, text_col).alias("row"),
         F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     pieces = _pieces(_placed(rows, _plan(rows, weights, most, block)), block)
-    return slots.join(pieces, ["source_no", "block_no"]).select(
+    met = slots.withColumnRenamed("words", "limit").join(pieces, ["source_no", "block_no"])
+    return met.withColumn("words", _first(F.col("limit"))).where("words > 0").select(
         "shard", "slot", F.col("doc").alias(id_col),
         F.greatest(F.lit(0), F.col("block_no") * block - F.col("place")).alias("first_word"), "words")
 
 
+def _first(limit: Column) -> Column:
+    """How many words of a piece are among the first words of its block."""
+    return F.greatest(F.lit(0), F.least(F.col("offset") + F.col("words"), limit) - F.col("offset"))
+
+
 def _plan(rows: DataFrame, weights: tuple[int, ...], most: int, block: int) -> DataFrame:
-    """A row for each source: its number, size, target, blocks, and the strata ``low`` to ``high`` of the mix."""
+    """A row for each source: its number, size, target, blocks, how often it is taken whole, the words of the rest, and
+    its slots ``low`` to ``high`` of the mix."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     everything = Window.partitionBy(F.lit(0))
@@ -85,13 +101,17 @@ def _plan(rows: DataFrame, weights: tuple[int, ...], most: int, block: int) -> D
     levelled = listed.withColumn("level", level).withColumn(
         "level", F.max(F.when(F.col("cap") / F.col("weight") >= F.col("level"), F.col("level"))).over(everything))
     shared = levelled.withColumn("target", F.least("cap", F.col("level") * F.col("weight")))
-    high = F.round(F.sum("target").over(by_name.rowsBetween(Window.unboundedPreceding, 0)) / block).cast("long")
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    ended = shared.withColumns({"high": high, "blocks": blocks})
-    low = F.lag("high", 1, 0).over(by_name)
-    limited = ended.withColumn("low", low).withColumn(
-        "high", F.least("high", F.col("low") + F.col("blocks") * most))
-    return limited.select("source", "source_no", "source_size", "target", "blocks", "low", "high")
+    wanted = F.round("target").cast("long")
+    counted = shared.withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long")).withColumn(
+        "rounds", F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
+    counted = counted.withColumn("rest", wanted - F.col("rounds") * F.col("source_size"))
+    # One slot more than whole blocks would need, as the last block of a source may be short.
+    last = F.when(F.col("rest") > 0, F.least("blocks", F.ceil(F.col("rest") / block) + 1)).otherwise(F.lit(0))
+    n_slots = (F.col("rounds") * F.col("blocks") + last).cast("long")
+    ended = counted.withColumn("n_slots", n_slots).withColumn(
+        "high", F.sum("n_slots").over(by_name.rowsBetween(Window.unboundedPreceding, 0)))
+    return ended.select("source", "source_no", "source_size", "target", "blocks", "rounds", "rest",
+                        (F.col("high") - F.col("n_slots")).alias("low"), "high")
 
 
 def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -102,23 +122,49 @@ def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
 def _slots(plan: DataFrame, block: int, seed: int) -> DataFrame:
     spark = plan.sparkSession
     n = int(plan.agg(F.coalesce(F.max("high"), F.lit(0))).first()[0])
-    spans = plan.where("high > low").select("source_no", "blocks", "low", "high", F.explode(
-        F.sequence(F.floor(F.col("low") / _SPAN), F.floor((F.col("high") - 1) / _SPAN))).alias("span"))
-    strata = spark.range(n).withColumn("span", F.floor(F.col("id") / _SPAN))
-    drawn = strata.join(spans, "span").where("id >= low AND id < high").withColumn("i", F.col("id") - F.col("low"))
-    turn = F.floor(F.col("i") / F.col("blocks"))
-    shards = max(1, -(-n // SHARD_SLOTS))
-    return drawn.withColumn("round", turn).select(
-        F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(shards)).alias("shard"), F.col("id").alias("slot"), "source_no",
-        _permuted(F.col("i") % F.col("blocks"), F.col("blocks"), F.xxhash64("source_no", "round", F.lit(seed))).alias(
-            "block_no"), "round")
-
-
-def _permuted(i: Column, n: Column, key: Column) -> Column:
-    """A permutation of 0 to n-1 that ``key`` chooses."""
-    steps = F.array(*[F.lit(p) for p in _STEPS])
-    step = F.element_at(steps, (F.pmod(key, F.lit(len(_STEPS))) + 1).cast("int")) % n
-    return (i * step + F.pmod(F.shiftright(key, 8), n)) % n
+    key = lambda of: F.xxhash64("source_no", of, F.lit(seed))
+    named = plan.where("high > low").withColumn("short_at", _permuted(
+        F.col("blocks") - 1, F.col("blocks"), key(F.col("rounds")), back=True))
+    spans = named.withColumn("span", F.explode(
+        F.sequence(F.floor(F.col("low") / _SPAN), F.floor((F.col("high") - 1) / _SPAN))))
+    numbers = spark.range(n).withColumn("span", F.floor(F.col("id") / _SPAN))
+    i = F.col("id") - F.col("low")
+    drawn = numbers.join(spans, "span").where("id >= low AND id < high").withColumns({
+        "round": F.floor(i / F.col("blocks")), "at": i % F.col("blocks")})
+    placed = drawn.withColumn("block_no", _permuted(F.col("at"), F.col("blocks"), key(F.col("round")))).withColumn(
+        "full", F.least(F.lit(block), F.col("source_size") - F.col("block_no") * block))
+    short = F.lit(block) - (F.col("source_size") - (F.col("blocks") - 1) * block)
+    before = F.col("at") * block - F.when(F.col("short_at") < F.col("at"), short).otherwise(F.lit(0))
+    words = F.when(F.col("round") < F.col("rounds"), F.col("full")).otherwise(F.least("full", F.col("rest") - before))
+    dealt = _permuted(F.col("id"), F.lit(n).cast("long"), F.lit(seed).cast("long"))
+    return placed.withColumn("words", words).where("words > 0").select(
+        F.floor(dealt / SHARD_SLOTS).alias("shard"), F.col("id").alias("slot"), "source_no", "block_no", "round", "words",
+        "full")
+
+
+def _permuted(i: Column, n: Column, key: Column, back: bool = False) -> Column:
+    """What a permutation of 0 to n-1 that ``key`` chooses gives for i; ``back``: for what it gives i."""
+    rows = F.ceil(F.sqrt(n)).cast("long")
+    columns = F.ceil(n / rows).cast("long")
+
+    def turn(cell: Column, k: Column) -> Column:
+        if back:
+            right = F.pmod(cell["right"] - F.pmod(F.xxhash64(cell["left"], key, -k), columns), columns)
+            return F.struct(F.pmod(cell["left"] - F.pmod(F.xxhash64(right, key, k), rows), rows).alias("left"),
+                            right.alias("right"))
+        left = F.pmod(cell["left"] + F.pmod(F.xxhash64(cell["right"], key, k), rows), rows)
+        return F.struct(left.alias("left"),
+                        F.pmod(cell["right"] + F.pmod(F.xxhash64(left, key, -k), columns), columns).alias("right"))
+
+    def moved(x: Column) -> Column:
+        cell = F.struct(F.floor(x / columns).alias("left"), (x % columns).alias("right"))
+        turns = F.array(*[F.lit(k) for k in (range(_TURNS, 0, -1) if back else range(1, _TURNS + 1))])
+        return F.aggregate(turns, cell, turn, lambda c: c["left"] * columns + c["right"])
+
+    # No walk is longer than what lies outside, which is less than a row of the grid.
+    walk = F.sequence(F.lit(1).cast("long"), F.greatest(rows, columns))
+    once = moved(i)
+    return F.when(once < n, once).otherwise(F.aggregate(walk, once, lambda x, _: F.when(x < n, x).otherwise(moved(x))))
 
 
 def _placed(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -134,9 +180,11 @@ def _placed(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def _pieces(placed: DataFrame, block: int) -> DataFrame:
-    """The part of a document in each block it reaches."""
+    """The part of a document in each block it reaches, and where in the block it begins."""
     end = F.col("place") + F.col("size")
     reached = F.sequence(F.floor(F.col("place") / block), F.floor((end - 1) / block))
     spread = placed.withColumn("block_no", F.explode(reached))
-    words = F.least(end, (F.col("block_no") + 1) * block) - F.greatest("place", F.col("block_no") * block)
-    return spread.select("source_no", "place", "doc", "block_no", words.alias("words"))
+    begin = F.greatest("place", F.col("block_no") * block)
+    words = F.least(end, (F.col("block_no") + 1) * block) - begin
+    return spread.select("source_no", "place", "doc", "block_no", words.alias("words"),
+                         (begin - F.col("block_no") * block).alias("offset"))
