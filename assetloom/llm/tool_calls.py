@@ -133,10 +133,10 @@ def references(text: str) -> list[str]:
 
 def _ordered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for conv, waits in zip(frame["conv_id"], frame["waits"]):
-            found = ordered((w["call_id"], w["needs"]) for w in waits)
-            yield pd.DataFrame({"conv_id": pd.Series([conv] * len(found), dtype=frame["conv_id"].dtype),
-                                "call_id": list(found), "level": pd.Series(found.values(), dtype="int32")})
+        found = [(conv, call, level) for conv, waits in zip(frame["conv_id"], frame["waits"])
+                 for call, level in ordered((w["call_id"], w["needs"]) for w in waits).items()]
+        yield pd.DataFrame({name: pd.Series([f[k] for f in found], dtype=kind) for k, (name, kind) in enumerate(
+            (("conv_id", frame["conv_id"].dtype), ("call_id", object), ("level", "int32")))})
 
 
 def ordered(waits) -> dict:
