@@ -147,19 +147,17 @@ def _permuted(i: Column, n: Column, key: Column, back: bool = False) -> Column:
     rows = F.ceil(F.sqrt(n)).cast("long")
     columns = F.ceil(n / rows).cast("long")
 
-    def turn(cell: Column, k: Column) -> Column:
-        if back:
-            right = F.pmod(cell["right"] - F.pmod(F.xxhash64(cell["left"], key, -k), columns), columns)
-            return F.struct(F.pmod(cell["left"] - F.pmod(F.xxhash64(right, key, k), rows), rows).alias("left"),
-                            right.alias("right"))
-        left = F.pmod(cell["left"] + F.pmod(F.xxhash64(cell["right"], key, k), rows), rows)
-        return F.struct(left.alias("left"),
-                        F.pmod(cell["right"] + F.pmod(F.xxhash64(left, key, -k), columns), columns).alias("right"))
-
     def moved(x: Column) -> Column:
-        cell = F.struct(F.floor(x / columns).alias("left"), (x % columns).alias("right"))
-        turns = F.array(*[F.lit(k) for k in (range(_TURNS, 0, -1) if back else range(1, _TURNS + 1))])
-        return F.aggregate(turns, cell, turn, lambda c: c["left"] * columns + c["right"])
+        left, right = F.floor(x / columns), x % columns
+        for k in range(_TURNS, 0, -1) if back else range(1, _TURNS + 1):
+            by = lambda half, of, size: F.pmod(F.xxhash64(half, key, F.lit(of)), size)
+            if back:
+                right = F.pmod(right - by(left, -k, columns), columns)
+                left = F.pmod(left - by(right, k, rows), rows)
+            else:
+                left = F.pmod(left + by(right, k, rows), rows)
+                right = F.pmod(right + by(left, -k, columns), columns)
+        return left * columns + right
 
     # No walk is longer than what lies outside, which is less than a row of the grid.
     walk = F.sequence(F.lit(1).cast("long"), F.greatest(rows, columns))

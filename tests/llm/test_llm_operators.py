@@ -402,7 +402,7 @@ def test_mixing_in_chunks_spans_and_shards(docs, corpus, monkeypatch):
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 16, 17, 100, 1023, 4097])
 def test_permutations(spark, n):
-    for key in range(4):
+    for key in range(2):
         at = mixing._permuted(F.col("id"), F.lit(n).cast("long"), F.lit(key).cast("long"))
         back = mixing._permuted(F.col("to"), F.lit(n).cast("long"), F.lit(key).cast("long"), back=True)
         got = spark.range(n).withColumn("to", at).withColumn("back", back).collect()
