@@ -32,6 +32,8 @@ CALIBRATION = 200
 SALTS = 64
 BINS = 1 << 16
 RUNS = (2, 3, 4)
+#: Bytes whose runs are held at a time, also of one long text.
+_BYTES_AT_ONCE = 1 << 18
 #: Languages and the families they belong to. Any other language is a family of its own.
 FAMILIES = {
     "germanic": ("af", "da", "de", "en", "is", "nl", "no", "sv"),
@@ -116,27 +118,28 @@ def _fitted(labelled: DataFrame, id_col: str, text_col: str, lang_col: str):
     return languages, whole, (least or 0.0) / 2
 
 
-def _bins(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bins of all letter runs, and how many each text has."""
+def _bins(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bins of all letter runs, and the text of each, some bytes and one length of runs at a time."""
     data, offsets = buffer(texts)
-    text = _LETTERS[data]
-    after = np.concatenate([[0], text[:-1]])
-    text[(after == 0xC3) & (text >= 0x80) & (text <= 0x9E) & (text != 0x97)] += 0x20
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    wide = text.astype(np.uint32)
-    blank = text == 0x20
-    bins, owners = [], []
-    for n in RUNS:
-        size = max(0, len(text) - n + 1)
-        gram = np.zeros(size, np.uint32)
-        for j in range(n):
-            gram = (gram << np.uint32(8)) | wide[j : j + size]
-        good = (doc[:size] == doc[n - 1 :][:size]) & ~(blank[:size] & blank[1 : size + 1])
-        gram = gram[good] * np.uint32(0x9E3779B1) + np.uint32(n * 0x85EBCA6B & 0xFFFFFFFF)
-        gram = (gram ^ (gram >> np.uint32(15))) * np.uint32(0x85EBCA77)
-        bins.append((gram >> np.uint32(16)).astype(np.int32))
-        owners.append(doc[:size][good])
-    return np.concatenate(bins), np.concatenate(owners)
+    for begin in range(0, len(data), _BYTES_AT_ONCE):
+        end = min(begin + _BYTES_AT_ONCE, len(data))
+        known = max(begin - 1, 0)
+        text = _LETTERS[data[known : end + max(RUNS) - 1]]
+        after = np.concatenate([[0], text[:-1]])
+        text[(after == 0xC3) & (text >= 0x80) & (text <= 0x9E) & (text != 0x97)] += 0x20
+        text = text[begin - known :]
+        doc = np.searchsorted(offsets, np.arange(begin, begin + len(text)), "right") - 1
+        wide = text.astype(np.uint32)
+        blank = text == 0x20
+        for n in RUNS:
+            size = max(0, min(end - begin, len(text) - n + 1))
+            gram = np.zeros(size, np.uint32)
+            for j in range(n):
+                gram = (gram << np.uint32(8)) | wide[j : j + size]
+            good = (doc[:size] == doc[n - 1 : n - 1 + size]) & ~(blank[:size] & blank[1 : size + 1])
+            gram = gram[good] * np.uint32(0x9E3779B1) + np.uint32(n * 0x85EBCA6B & 0xFFFFFFFF)
+            gram = (gram ^ (gram >> np.uint32(15))) * np.uint32(0x85EBCA77)
+            yield (gram >> np.uint32(16)).astype(np.int32), doc[:size][good]
 
 
 def _fit(group: pd.DataFrame) -> pd.DataFrame:
@@ -144,7 +147,8 @@ def _fit(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values(["lang", "rank", "body"], kind="stable")
     rows, norms = [], []
     for body in group["body"]:
-        places, counts = np.unique(_bins(pa.array([body]))[0], return_counts=True)
+        places, counts = np.unique(np.concatenate(
+            [np.zeros(0, np.int32), *(bins for bins, _ in _bins(pa.array([body])))]), return_counts=True)
         values = counts / max(1, counts.sum())
         rows.append((places, values))
         norms.append(float(values @ values) + 1e-4)
@@ -197,9 +201,12 @@ def _scorer(languages: list[str], machines: list[tuple], keep_body: bool = False
                 written = piece.column("written").to_numpy(zero_copy_only=False)
                 picked, sure = np.zeros(n, np.int64), np.ones(n)
                 if machines:
-                    bins, owners = _bins(piece.column("body"))
-                    total = np.maximum(1, np.bincount(owners, minlength=n))
-                    margins = {m[:3]: np.bincount(owners, m[3][bins], minlength=n) / total + m[4] for m in machines}
+                    total, sums = np.zeros(n), np.zeros((len(machines), n))
+                    for bins, owners in _bins(piece.column("body")):
+                        total += np.bincount(owners, minlength=n)
+                        for k, m in enumerate(machines):
+                            sums[k] += np.bincount(owners, m[3][bins], minlength=n)
+                    margins = {m[:3]: sums[k] / np.maximum(1, total) + m[4] for k, m in enumerate(machines)}
                     families = sorted(set(family.values()))
                     top, sure = decide(margins, families, "family")
                     for k, name in enumerate(families):

@@ -44,6 +44,8 @@ REGISTERS = 128
 #: 25 bands of 5: a pair of similarity 0.8 shares a band with probability 0.99995.
 BANDS, ROWS = 25, 5
 BLOCK = 512
+#: Bytes of texts that are sketched or compared at a time; a longer text is taken alone.
+_PIECE = 1 << 20
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
@@ -145,7 +147,7 @@ def _sketcher(n: int):
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "body"):
+            for piece in pieces(batch, "body", _PIECE):
                 words = words_of(*buffer(piece.column("body")))
                 some = np.flatnonzero(words.counts)
                 if not len(some):
@@ -197,8 +199,8 @@ def similarities(left: pa.Array, right: pa.Array, n: int) -> np.ndarray:
 def _verifier(n: int, threshold: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "left"):
-                for half in pieces(piece, "right"):
+            for piece in pieces(batch, "left", _PIECE):
+                for half in pieces(piece, "right", _PIECE):
                     alike = similarities(half.column("left"), half.column("right"), n) >= threshold - 1e-9
                     yield half.select(["a", "b"]).filter(pa.array(alike))
 
