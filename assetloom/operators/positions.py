@@ -2,13 +2,12 @@
 
 A plain window over a hot key sorts the whole key in one task. Here the order column is cut into
 ranges at approximate quantiles; the window runs per (key, range) and starts from the total of the
-earlier ranges, which enters as one extra row. The range is a pure function of the order value, so
-a recomputed partition yields the same rows.
+earlier ranges, which enters as one extra row. The bounds are stored once, so the range is a pure
+function of the order value and a recomputed partition yields the same rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from assetloom.functions.literals import literal
-from assetloom.session import shuffle_partitions
+from assetloom.session import checkpointed, shuffle_partitions
 
 ROWS_PER_RANGE = 1_000_000
 
@@ -27,24 +25,31 @@ def _ranges_for(df: DataFrame) -> int:
     return max(2, shuffle_partitions(df.sparkSession), -(-df.count() // ROWS_PER_RANGE))
 
 
-def _range_of(df: DataFrame, order: str, ranges: int) -> Column:
-    """Number of quantile bounds at or below the order value (two short array scans per row)."""
+def _bounds(df: DataFrame, order: str, ranges: int) -> DataFrame:
+    """One stored row: the distinct approximate quantiles of the order column, ascending."""
     dtype = df.schema[order].dataType
     if not isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         raise TypeError(f"rows are ordered by a number, date or time, not by {order!r} of type {dtype.simpleString()}")
-    shares = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.approx_percentile(order, shares, ranges * 8).alias("b")).first().b or []
-    bounds = sorted(set(found))
-    if not bounds:
-        return F.lit(0)
-    c = F.col(order)
-    width = max(1, math.isqrt(len(bounds)))
-    blocks = [bounds[i:i + width] for i in range(0, len(bounds), width)]
-    firsts = F.array(*[literal(b[0], dtype) for b in blocks])
-    nested = F.array(*[F.array(*[literal(x, dtype) for x in b]) for b in blocks])
-    block = F.size(F.filter(firsts, lambda x: x <= c))
-    within = F.size(F.filter(F.element_at(nested, block), lambda x: x <= c))
-    return F.coalesce(F.when(c.isNull() | (block == 0), 0).otherwise((block - 1) * width + within), F.lit(0))
+    shares = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
+    found = F.approx_percentile(order, shares, ranges * 8)
+    return checkpointed(df.agg(F.array_sort(F.array_distinct(found)).alias("bounds")))
+
+
+def _with_range(df: DataFrame, order: str, ranges: int) -> DataFrame:
+    """Add the number of bounds at or below the order value, 0 for null, as ``_range``.
+
+    The bounds are one value that the running query fetches, so the plan does not grow with them; a
+    row finds its range by binary search.
+    """
+    if ranges < 2:
+        return df.withColumn("_range", F.lit(0))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(ranges.bit_length()))])
+    held = df.withColumn("_bounds", _bounds(df, order, ranges).scalar())
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.get("_bounds", at + step - 1) <= F.col(order), at + step).otherwise(at)
+
+    return held.withColumn("_range", F.aggregate(steps, F.lit(0), further)).drop("_bounds")
 
 
 def running_totals(
@@ -60,8 +65,7 @@ def running_totals(
     ``before=True`` leaves the row itself out. ``order`` is numeric, a date or a timestamp.
     """
     ranges = ranges or _ranges_for(df)
-    work = df.withColumns({
-        "_range": _range_of(df, order, ranges),
+    work = _with_range(df, order, ranges).withColumns({
         "_first": F.lit(1),
         **{f"_x_{n}": c for n, c in totals.items()},
     })
