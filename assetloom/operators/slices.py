@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from assetloom.functions.literals import strip_zone, time_literal
+from assetloom.operators.positions import row_index
 
 
 @dataclass(frozen=True)
@@ -271,6 +272,58 @@ def map_multi_to_single(keys: DataFrame, key: str, position: int) -> DataFrame:
     )
 
 
+#: Number of the schedule's step a time lies in, by unit.
+STEP_NUMBERS = {
+    "hour": lambda t: F.unix_date(t.cast("date")).cast("bigint") * 24 + F.hour(t),
+    "day": lambda t: F.unix_date(t.cast("date")).cast("bigint"),
+    "month": lambda t: F.year(t).cast("bigint") * 12 + F.month(t) - 1,
+}
+
+
+def key_runs(keys: DataFrame, key: str, fmt: str, unit: str = "day") -> DataFrame:
+    """The stretches of consecutive steps that date keys form: ``first_key``, ``last_key``, ``n_keys``.
+
+    Gaps and islands: within a stretch, step number less position stays the same. The position comes
+    from balanced ranges, not from one window over all keys. Repeated keys count once; null keys and
+    texts that are no key of the format belong to no stretch.
+    """
+    if unit not in STEP_NUMBERS:
+        raise ValueError(f"a schedule steps by {', '.join(STEP_NUMBERS)}, not by {unit!r}")
+    time = F.try_to_timestamp(F.col(key), F.lit(fmt)).cast("timestamp_ntz")
+    steps = keys.select(STEP_NUMBERS[unit](time).alias("_step"), F.col(key).alias("_key")).where("_step IS NOT NULL")
+    placed = row_index(steps.groupBy("_step").agg(F.min("_key").alias("_key")), "_step", "_at")
+    return placed.groupBy((F.col("_step") - F.col("_at")).alias("_run")).agg(
+        F.min_by("_key", "_step").alias("first_key"), F.max_by("_key", "_step").alias("last_key"),
+        F.count(F.lit(1)).alias("n_keys")).drop("_run")
+
+
+def _to_window(keys: DataFrame, key: str, window: DataFrame) -> DataFrame:
+    fields = {n: window.select(n).scalar() for n in ("first_key", "last_key", "n_keys")}
+    return keys.select(F.col(key).alias("down_key")).withColumns(fields)
+
+
+def map_all(keys: DataFrame, key: str, upstream: DataFrame, up_key: str) -> DataFrame:
+    """Each downstream key with the window of all upstream keys (first, last and number of keys).
+
+    The upstream side stays a window, as listing it for each key would multiply the two sides. Without
+    upstream keys the window is null and holds 0 keys.
+    """
+    return _to_window(keys, key, upstream.agg(
+        F.min(up_key).alias("first_key"), F.max(up_key).alias("last_key"), F.count_distinct(up_key).alias("n_keys")))
+
+
+def map_specific(keys: DataFrame, key: str, wanted: DataFrame, wanted_key: str, fmt: str,
+                 unit: str = "day") -> DataFrame:
+    """Each downstream key with the window of the wanted upstream keys; refused unless those are
+    consecutive steps of the schedule, because one read covers one window."""
+    runs = key_runs(wanted, wanted_key, fmt, unit)
+    found = runs.orderBy("first_key").limit(2).collect()
+    if len(found) != 1:
+        gap = f"nothing between {found[0].last_key} and {found[1].first_key}" if found else "there are none"
+        raise ValueError(f"specific keys must be consecutive: {gap}")
+    return _to_window(keys, key, keys.sparkSession.createDataFrame(found, runs.schema))
+
+
 def stored_for(mapping: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Mapped upstream keys, each marked with whether it is stored."""
     have = stored.select(F.col(key).alias("up_key")).distinct().withColumn("stored", F.lit(True))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,11 +120,39 @@ def outcomes(
     return marked.select(*[F.col(f"s.{c}").alias(c) for c in target.columns], outcome.alias("outcome"))
 
 
-def outcome_counts(rows: DataFrame, *extra: str) -> DataFrame:
-    """Rows per outcome class: successful, failed, unprocessed."""
-    klass = (
+def result_type() -> Column:
+    """The class of an ``outcome``: successful, failed or unprocessed."""
+    return (
         F.when(F.col("outcome") == "rejected", "failed")
         .when(F.col("outcome") == "unprocessed", "unprocessed")
         .otherwise("successful")
     )
-    return rows.groupBy(*extra, klass.alias("result_type"), "outcome").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def outcome_counts(rows: DataFrame, *extra: str) -> DataFrame:
+    """Rows per outcome class: successful, failed, unprocessed."""
+    return rows.groupBy(*extra, result_type().alias("result_type"), "outcome").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def store_outcomes(rows: DataFrame, root: str, job_id: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Write the rows of ``outcomes`` as JSON lines, one folder per class, and return what was stored.
+
+    The rows are evaluated once; ``extra`` columns of the caller come first. The folder of the job is
+    replaced, so a job that runs again leaves no second copy; other jobs below ``root`` stay. Columns
+    that clash with ``job_id``, ``result_type`` or an extra name are refused.
+    """
+    added = {"job_id": F.lit(job_id), **(extra or {})}
+    clash = sorted({"result_type", *added} & set(rows.columns))
+    if clash or "result_type" in added:
+        raise ValueError(f"columns clash with those of the outcome log: {clash or ['result_type']}")
+    stored = rows.select(*[c.alias(n) for n, c in added.items()], "*", result_type().alias("result_type"))
+    path = f"{root}/job={quote(job_id, safe="")}"
+    stored.write.mode("overwrite").partitionBy("result_type").json(path)
+    return rows.sparkSession.read.schema(stored.schema).json(path)
+
+
+def outcome_counters(stored: DataFrame) -> DataFrame:
+    """One row per stored job with its number of records of each class, zero where there are none."""
+    return stored.groupBy("job_id").agg(*[
+        F.count_if(F.col("result_type") == klass).alias(f"{klass}_records")
+        for klass in ("successful", "failed", "unprocessed")])

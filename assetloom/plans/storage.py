@@ -15,7 +15,7 @@ from assetloom.operators import documents, publish, slices
 from assetloom.operators.curation import assign_split
 from assetloom.operators.slices import LayoutField, Slice, StaticDim, TimeDim
 from assetloom.operators.tables import AssetTable
-from assetloom.operators.upsert import UpsertOptions, outcomes
+from assetloom.operators.upsert import UpsertOptions, outcome_counters, outcomes, store_outcomes
 from assetloom.plans.registry import query, table
 from assetloom.session import scratch
 from assetloom.sources import databases, files, logs, packs, paged
@@ -356,6 +356,44 @@ def key_mapping_offset(spark, sf):
     return slices.stored_for(slices.map_time_offset(days, "day", "yyyy-MM-dd", -1, 0), days, "day")
 
 
+@query("""WITH d AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS k FROM events)
+          SELECT k AS down_key, (SELECT min(k) FROM d) AS first_key, (SELECT max(k) FROM d) AS last_key,
+                 (SELECT count(*) FROM d) AS n_keys FROM d""")
+def key_mapping_all(spark, sf):
+    days = table(spark, sf, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    return slices.map_all(days.distinct(), "day", days, "day")
+
+
+_ERROR_HOURS = """h AS (SELECT DISTINCT date_trunc('hour', ts) AS t FROM events WHERE event_type = 'error'),
+    n AS (SELECT t, t - to_hours(row_number() OVER (ORDER BY t)) AS run FROM h),
+    r AS (SELECT strftime(min(t), '%Y-%m-%d-%H') AS first_key, strftime(max(t), '%Y-%m-%d-%H') AS last_key,
+                 count(*) AS n_keys FROM n GROUP BY run)"""
+
+
+def _error_hours(spark, sf):
+    errors = table(spark, sf, "events").where("event_type = 'error'")
+    return errors.select(F.date_format("ts", "yyyy-MM-dd-HH").alias("hour"))
+
+
+@query(f"WITH {_ERROR_HOURS} SELECT * FROM r")
+def consecutive_keys(spark, sf):
+    """The stretches of hours with an error in each."""
+    return slices.key_runs(_error_hours(spark, sf), "hour", "yyyy-MM-dd-HH", "hour")
+
+
+@query(f"""WITH {_ERROR_HOURS}, d AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS down_key FROM events),
+    longest AS (SELECT * FROM r ORDER BY n_keys DESC, first_key LIMIT 1)
+    SELECT down_key, first_key, last_key, n_keys FROM d LEFT JOIN longest ON true""")
+def key_mapping_specific(spark, sf):
+    """Every day depends on the hours of the longest stretch of errors."""
+    hours = _error_hours(spark, sf)
+    longest = slices.key_runs(hours, "hour", "yyyy-MM-dd-HH", "hour").orderBy(F.desc("n_keys"), "first_key").limit(1)
+    first, last = longest.first()[:2]
+    days = table(spark, sf, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day")).distinct()
+    wanted = hours.where(F.col("hour").between(first, last))
+    return slices.map_specific(days, "day", wanted, "hour", "yyyy-MM-dd-HH", "hour")
+
+
 _PARTITION_KEY = """CASE event_id % 6 WHEN 0 THEN strftime(ts, '%Y-%m-%d') WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M')
     WHEN 2 THEN strftime(ts, '%Y-%m-%d-%H:%M:%S') WHEN 3 THEN strftime(ts, '%Y-%m-%d') || '|' || event_type
     WHEN 4 THEN strftime(ts, '%Y%m%d') ELSE '2024-13-45' END"""
@@ -526,6 +564,36 @@ def upsert_outcomes(spark, sf):
     return rows.select("c_custkey", "outcome")
 
 
+_OUTCOMES = f"""{_UPSERTED}, o AS (
+    SELECT 'customers-1' AS job_id, s.c_nationkey % 3 AS batch_no, s.c_custkey,
+           CASE WHEN s.c_mktsegment = 'MACHINERY' THEN 'rejected' WHEN t.c_custkey IS NULL THEN 'unprocessed'
+             WHEN s.c_acctbal = t.c_acctbal THEN 'unchanged' ELSE 'updated' END AS outcome
+    FROM changed s LEFT JOIN customer t ON s.c_custkey = t.c_custkey)"""
+
+
+def _stored_outcomes(spark, sf):
+    """An update without inserts, logged: new customers are not processed, one segment is refused."""
+    customers = table(spark, sf, "customer")
+    rows = outcomes(customers, _changed_customers(customers), ["c_custkey"], insert=False,
+                    reject=F.col("c_mktsegment") == "MACHINERY")
+    return store_outcomes(rows, scratch(spark, "outcomes"), "customers-1", {"batch_no": F.col("c_nationkey") % 3})
+
+
+@query(f"""WITH {_OUTCOMES}
+    SELECT *, CASE outcome WHEN 'rejected' THEN 'failed' WHEN 'unprocessed' THEN 'unprocessed' ELSE 'successful' END
+                AS result_type FROM o""")
+def stored_outcomes(spark, sf):
+    return _stored_outcomes(spark, sf).select("job_id", "batch_no", "c_custkey", "outcome", "result_type")
+
+
+@query(f"""WITH {_OUTCOMES}
+    SELECT job_id, count(*) FILTER (WHERE outcome IN ('updated', 'unchanged', 'inserted')) AS successful_records,
+           count(*) FILTER (WHERE outcome = 'rejected') AS failed_records,
+           count(*) FILTER (WHERE outcome = 'unprocessed') AS unprocessed_records FROM o GROUP BY job_id""")
+def outcome_totals(spark, sf):
+    return outcome_counters(_stored_outcomes(spark, sf))
+
+
 @query("""SELECT o_orderstatus AS part_o_orderstatus, strftime(o_orderdate, '%Y-%m') AS part_o_orderdate,
                  count(*) AS n_rows FROM orders GROUP BY 1, 2""")
 def partitioned_write(spark, sf):

@@ -127,3 +127,55 @@ def test_row_index(spark):
     rows = positions.row_index(df, "key", "i", 100).collect()
     assert all(r.i == r.key + 100 for r in rows) and len(rows) == 1000
     assert positions.row_index(df.where("key < 0"), "key").count() == 0
+
+
+@pytest.mark.parametrize("dtype", ["int", "double", "decimal(12,2)", "date", "timestamp", "timestamp_ntz"])
+def test_ranges_of_every_order_type(spark, dtype):
+    """Half of the rows share one order value and some have none; sums per value stay those of a plain sum."""
+    value = F.when(F.col("id") % 10 == 0, None).when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).cast("int")
+    made = F.date_add(F.lit("2024-01-01").cast("date"), value).cast(dtype) if dtype[0] in "dt" and dtype[1] in "ai" \
+        else value.cast(dtype)
+    df = spark.range(400).select("id", made.alias("at")).groupBy("at").agg(F.count("*").alias("n"))
+    got = positions.running_totals(df, [], "at", {"upto": F.col("n")}, ranges=9).orderBy("at").collect()
+    seen = 0
+    for row in got:
+        seen += row.n
+        assert row.upto == seen
+    assert seen == 400 and len(got) == 201  # 200 odd numbers, 5 among them, and null
+
+
+def test_plan_does_not_grow_with_the_ranges(spark):
+    df = spark.range(20_000)
+    plans = []
+    for ranges in (8, 2000):
+        out = positions.row_index(df, "id", ranges=ranges)
+        assert out.where("id <> row_index").count() == 0
+        plans.append(len(out._jdf.queryExecution().optimizedPlan().toString()))
+    assert plans[1] < plans[0] + 500
+
+
+def test_key_runs(spark):
+    days = ["2024-02-28", "2024-02-29", "2024-03-01", "2024-03-01", None, "no day", "2024-03-04", "2024-02-31"]
+    keys = spark.createDataFrame([(x,) for x in days], "k string")
+    got = sorted(tuple(r) for r in slices.key_runs(keys, "k", "yyyy-MM-dd").collect())
+    assert got == [("2024-02-28", "2024-03-01", 3), ("2024-03-04", "2024-03-04", 1)]
+    months = spark.createDataFrame([("2023-12",), ("2024-01",), ("2024-03",)], "k string")
+    got = sorted(tuple(r) for r in slices.key_runs(months, "k", "yyyy-MM", "month").collect())
+    assert got == [("2023-12", "2024-01", 2), ("2024-03", "2024-03", 1)]
+    assert slices.key_runs(keys.where("false"), "k", "yyyy-MM-dd").count() == 0
+    with pytest.raises(ValueError, match="steps by"):
+        slices.key_runs(keys, "k", "yyyy", "century")
+
+
+def test_all_and_specific_keys(spark):
+    down = spark.createDataFrame([("a",), ("b",)], "k string")
+    up = spark.createDataFrame([("2024-01-01",), ("2024-01-02",), ("2024-01-02",), ("2024-01-04",)], "d string")
+    assert sorted(tuple(r) for r in slices.map_all(down, "k", up, "d").collect()) == [
+        ("a", "2024-01-01", "2024-01-04", 3), ("b", "2024-01-01", "2024-01-04", 3)]
+    assert [tuple(r) for r in slices.map_all(down, "k", up.where("false"), "d").limit(1).collect()] == [("a", None, None, 0)]
+    got = slices.map_specific(down, "k", up.where("d < '2024-01-03'"), "d", "yyyy-MM-dd")
+    assert sorted(tuple(r) for r in got.collect()) == [("a", "2024-01-01", "2024-01-02", 2), ("b", "2024-01-01", "2024-01-02", 2)]
+    with pytest.raises(ValueError, match="between 2024-01-02 and 2024-01-04"):
+        slices.map_specific(down, "k", up, "d", "yyyy-MM-dd")
+    with pytest.raises(ValueError, match="none"):
+        slices.map_specific(down, "k", up.where("false"), "d", "yyyy-MM-dd")

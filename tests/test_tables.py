@@ -124,6 +124,22 @@ def test_outcomes(spark):
     assert counts == {"successful": 3, "failed": 1}
 
 
+def test_stored_outcomes(spark, root):
+    old = frame(spark, [(1, "a"), (2, None)], "k int, v string")
+    new = frame(spark, [(1, "b"), (2, None), (3, "c"), (4, "bad")], "k int, v string")
+    rows = ups.outcomes(old, new, ["k"], insert=False, reject=F.col("v") == "bad")
+    for _ in range(2):  # a job that runs again replaces its own files only
+        stored = ups.store_outcomes(rows, f"{root}/log", "a/1", {"batch": F.lit(7)})
+        other = ups.store_outcomes(rows.where("k < 3"), f"{root}/log", "b", {"batch": F.lit(8)})
+    assert values(stored, "job_id", "batch", "k", "v", "result_type") == sorted([
+        ("a/1", 7, 1, "b", "successful"), ("a/1", 7, 2, None, "successful"), ("a/1", 7, 3, "c", "unprocessed"),
+        ("a/1", 7, 4, "bad", "failed")], key=repr)
+    assert values(ups.outcome_counters(stored.unionByName(other))) == [("a/1", 2, 1, 1), ("b", 2, 0, 0)]
+    assert ups.store_outcomes(rows.where("false"), f"{root}/log", "empty").count() == 0
+    with pytest.raises(ValueError, match="clash"):
+        ups.store_outcomes(rows, f"{root}/log", "c", {"v": F.lit(1)})
+
+
 def test_versions_and_schema_overwrite(spark, root):
     t = AssetTable(spark, root, "v")
     t.append(frame(spark, [(1,), (2,), (3,)], "a long"))
