@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from functools import reduce
 
-import pyarrow as pa
 import pyarrow.fs
-import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from assetloom.functions import names, text
 from assetloom.operators import documents, publish, slices
 from assetloom.operators.curation import assign_split
+from assetloom.operators.positions import position_in_group
 from assetloom.operators.slices import LayoutField, Slice, StaticDim, TimeDim
 from assetloom.operators.tables import AssetTable
 from assetloom.operators.upsert import UpsertOptions, outcome_counters, outcomes, store_outcomes
@@ -134,23 +134,74 @@ def transfer_select(spark, sf):
     return spark.read.parquet(path)
 
 
+PAGED_CHAINS, PAGE_ROWS = 8, 2000
+
+
+def _event_service(spark, sf):
+    """The events as a service: chains of JSON pages in order of their ids, each page names the next one."""
+    events = table(spark, sf, "events").select(
+        F.pmod(F.xxhash64("event_id"), F.lit(PAGED_CHAINS)).alias("chain"), "event_id", "user_id", "event_type")
+    placed = position_in_group(events, ["chain"], "event_id", "at").withColumn(
+        "page", F.floor(F.col("at") / PAGE_ROWS))
+    last = events.groupBy("chain").agg(F.floor((F.count(F.lit(1)) - 1) / PAGE_ROWS).alias("last"))
+    pages = placed.groupBy("chain", "page").agg(
+        F.sort_array(F.collect_list(F.struct("event_id", "user_id", "event_type"))).alias("rows")).join(last, "chain")
+    following = F.when(F.col("page") < F.col("last"), (F.col("page") + 1).cast("string"))
+    path = scratch(spark, "event_pages")
+    pages.select("chain", "page", F.to_json(F.struct("rows", following.alias("next"))).alias("value")).write.partitionBy(
+        "chain", "page").text(path)
+
+    def page_of(query, cursor):
+        fs, root = pyarrow.fs.FileSystem.from_uri(path)
+        folder = pyarrow.fs.FileSelector(f"{root}/chain={query}/page={cursor or 0}", allow_not_found=True)
+        names = [f.path for f in fs.get_file_info(folder) if f.base_name.startswith("part-")]
+        if not names:
+            return {"rows": []}
+        with fs.open_input_file(names[0]) as handle:
+            return json.loads(handle.read())
+
+    def fetch(query, since, until, cursor, page_size):
+        page = page_of(query, cursor)
+        rows = [(r["event_id"], r.get("user_id"), r.get("event_type")) for r in page["rows"]]
+        return rows, page.get("next")
+
+    def peek(query, since, until, cursor):
+        return page_of(query, cursor).get("next")
+
+    return fetch, peek, [paged.Chain(str(i)) for i in range(PAGED_CHAINS)]
+
+
+_PAGED_SCHEMA = "event_id bigint, user_id bigint, event_type string"
+
+
 @query("SELECT event_id, user_id, event_type FROM events")
 def paged_events(spark, sf):
-    """Each file is a service, each of its row groups a page; the cursor is the next group."""
-    def fetch(uri, since, until, cursor, page_size):
-        fs, path = pyarrow.fs.FileSystem.from_uri(uri)
-        with fs.open_input_file(path) as handle:
-            groups, at = pq.ParquetFile(handle), int(cursor or 0)
-            rows = groups.read_row_group(at, columns=["event_id", "user_id", "event_type"])
-            following = str(at + 1) if at + 1 < groups.num_row_groups else None
-        return rows, following
-
-    chains = [paged.Chain(uri) for uri in table(spark, sf, "events").inputFiles()]
-    spark.dataSource.register(paged.paged_source(
-        "paged_events", "event_id bigint, user_id bigint, event_type string", fetch, chains))
+    fetch, _, chains = _event_service(spark, sf)
+    spark.dataSource.register(paged.paged_source("paged_events", _PAGED_SCHEMA, fetch, chains))
     return spark.read.format("paged_events").load()
 
 
+@query("SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 500")
+def paged_events_limited(spark, sf):
+    """One limit shared by all chains."""
+    fetch, _, chains = _event_service(spark, sf)
+    spark.dataSource.register(paged.paged_source(
+        "paged_events_limited", _PAGED_SCHEMA, fetch, chains, limit_per_chain=500))
+    return paged.read_limited(spark, "paged_events_limited", "event_id", 500)
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def paged_events_stream(spark, sf):
+    """The pages as a stream whose offsets are cursors, appended to a folder."""
+    fetch, peek, chains = _event_service(spark, sf)
+    spark.dataSource.register(paged.paged_source("paged_events_stream", _PAGED_SCHEMA, fetch, chains, peek=peek))
+    path = scratch(spark, "paged_stream")
+    stream = spark.readStream.format("paged_events_stream").load().writeStream.format("parquet").option(
+        "checkpointLocation", f"{path}-offsets").trigger(availableNow=True).start(path)
+    stream.awaitTermination()
+    return spark.read.schema(_PAGED_SCHEMA).parquet(path)
+
+
 @query("""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
           WHERE o_orderdate >= TIMESTAMP '1999-01-01'""")
 def incremental_extract(spark, sf):

@@ -157,6 +157,56 @@ def test_paged_source(spark, root):
     assert [p.until[11:13] for p in parts] == ["02", "04", "05"]
 
 
+def test_paged_limit_and_stream(spark, root):
+    """Three runs of a stream over a service that grows: every page once, also after a restart."""
+    def page(query, n, last):
+        put(f"{root}/{query}-{n}.json", json.dumps({
+            "rows": [[query, n * 2], [query, n * 2 + 1]] if n or query != "empty" else [], "next": None if last else str(n + 1)}))
+
+    def stored(query, cursor):
+        with open(f"{root}/{query}-{cursor or 0}.json") as f:
+            return json.load(f)
+
+    def fetch(query, since, until, cursor, page_size):
+        found = stored(query, cursor)
+        with open(f"{root}/fetched-{query}-{cursor or 0}", "a") as f:
+            f.write("x")
+        return [tuple(r) for r in found["rows"]], found["next"]
+
+    def peek(query, since, until, cursor):
+        return stored(query, cursor)["next"]
+
+    chains = [paged.Chain("x"), paged.Chain("y"), paged.Chain("empty")]
+    page("empty", 0, True)
+    for q, n in (("x", 4), ("y", 1)):
+        for i in range(n):
+            page(q, i, i == n - 1)
+    spark.dataSource.register(paged.paged_source("pages_limited", "q string, n int", fetch, chains, limit_per_chain=3))
+    assert values(paged.read_limited(spark, "pages_limited", "n", 3).select("n")) == [(0,), (0,), (1,)]
+    assert not os.path.exists(f"{root}/fetched-x-2")  # pages past the limit are not asked for
+    spark.dataSource.register(paged.paged_source("pages_stream", "q string, n int", fetch, chains, peek=peek))
+
+    def run():
+        spark.readStream.format("pages_stream").load().writeStream.option(
+            "checkpointLocation", f"{root}/offsets").format("parquet").trigger(availableNow=True).start(
+            f"{root}/out").awaitTermination()
+        return values(spark.read.schema("q string, n int").parquet(f"{root}/out"))
+
+    assert run() == [("x", n) for n in range(8)] + [("y", n) for n in range(2)]
+    for q, n in (("x", 3), ("y", 0)):
+        page(q, n, False)
+        page(q, n + 1, True)
+    more = [("x", n) for n in range(10)] + [("y", n) for n in range(4)]
+    assert run() == more
+    assert run() == more
+    with open(f"{root}/fetched-x-3") as f:
+        assert f.read() == "x"
+    spark.dataSource.register(paged.paged_source("pages_still", "q string, n int", fetch, chains))
+    with pytest.raises(Exception, match="can't be streamed"):
+        spark.readStream.format("pages_still").load().writeStream.format("noop").trigger(availableNow=True).start(
+            ).awaitTermination()
+
+
 def test_stored_logs(spark, root):
     put(f"{root}/pre/storage/a/run/step.out", "one\ntwo\n")
     put(f"{root}/pre/storage/apple/run/step.err", "bad\n")
