@@ -30,7 +30,8 @@ def _in_batches(spark, sf, name, key, n=6):
     for k, upper in enumerate([*bounds, None]):
         some = F.lit(True) if lower is None else F.col(key) > lower
         some = some if upper is None else some & (F.col(key) <= upper)
-        rows.where(some).coalesce(1).write.parquet(f"{path}/{k}")
+        # One file a batch; filtered by many tasks, and read by many as its row groups are small.
+        rows.where(some).repartition(1).write.option("parquet.block.size", 8 << 20).parquet(f"{path}/{k}")
         lower = upper
     df = files.stream_parquet(spark, f"{path}/*", rows.schema, 1)
     return df.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in df.columns else df

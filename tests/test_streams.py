@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,3 +191,62 @@ def test_late_rows_are_kept_apart(spark, root):
     assert values(kept.read(), "id") == [(1,), (10,), (12,), (2,), (4,), (5,), (6,), (8,)]
     assert values(kept.read().where("id = 8"), "ts", "k") == [(day(8.5), "c")]
     assert sum(r.appended_rows or 0 for r in behind.history().collect()) == 4
+
+
+class CountingHandle:
+    """A state store of one key that counts the calls."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers = 0, None, set()
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+    def registerTimer(self, at):  # noqa: N802
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.calls += 1
+        self.timers.remove(at)
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return max(self.timers, default=0) + 1
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs  # noqa: N815
+
+
+@pytest.mark.parametrize("kind", ["failures", "spans"])
+def test_state_calls_do_not_grow_with_the_runs(kind):
+    """A batch reads and writes the state of all runs of a bucket at once; null runs, assets and steps are keys too."""
+    at = pd.Timestamp("2024-01-01")
+    processor = runs.PendingAssets(ev.RUN_ENDS, ev.RUN_ENDS, 1000) if kind == "failures" else runs.RunSpans(1000)
+    handle = CountingHandle()
+    processor.init(handle)
+    begin, name = (ev.PLANNED, "asset") if kind == "failures" else (ev.STEP_START, "step_key")
+    names = [None, *[f"r{n}" for n in range(300)]]
+    first = [(r, 10 * n + k, at, x, begin, 0) for n, r in enumerate(names) for k, x in ((1, "a"), (2, None), (2, None))]
+    last = [(r, 10 * n + 5, at, None, ev.RUN_FAILURE, 0) for n, r in enumerate(names[:101])]
+    found = []
+    for rows in (first, first, last):
+        frame = pd.DataFrame(rows, columns=["run_id", "event_id", "ts", name, "event_type", "shard"])
+        found.append(pd.concat(processor.handleInputRows((0,), iter([frame[:7], frame[7:]]), handle), ignore_index=True)
+                     if rows is last else [*processor.handleInputRows((0,), iter([frame]), handle)])
+    assert handle.calls < 15 and not found[0] and not found[1]
+    ended = found[2] if kind == "failures" else found[2][found[2]["kind"] == "step"]
+    key = lambda f: sorted(((r, x) for r, x in zip(f["run_id"], f[name])), key=repr)
+    plain = lambda pairs: sorted(((None if pd.isna(r) else r, None if pd.isna(x) else x) for r, x in pairs), key=repr)
+    assert plain(key(ended)) == plain((r, x) for r in names[:101] for x in ("a", None))
+    silent = pd.concat(processor.handleExpiredTimer((0,), handle, handle))
+    assert plain(key(silent)) == plain((r, x) for r in names[101:] for x in ("a", None))
+    assert handle.value is None
