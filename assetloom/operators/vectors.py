@@ -157,10 +157,32 @@ def _terms(text: str) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _weighed(texts: DataFrame, key: str, idf: Column, documents: DataFrame) -> DataFrame:
-    """``key, term, weight`` of the unit TF-IDF vectors; a term no document holds weighs most."""
-    counted = texts.select(key, F.explode("terms").alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    return counted.join(documents, "term", "left").select(key, "term", (F.col("tf") * idf).alias("weight"))
+def _counted(corpus: DataFrame) -> DataFrame:
+    """``id, terms, tf``: the different terms of each row's text and how often each occurs."""
+    schema = T.StructType([corpus.schema["id"], T.StructField("terms", T.ArrayType(T.LongType())),
+                           T.StructField("tf", T.ArrayType(T.LongType()))])
+
+    def run(batches):
+        for batch in batches:
+            terms = batch.column("terms")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(terms.offsets)))
+            flat = np.asarray(terms.flatten(), dtype=np.int64)
+            order = np.lexsort((flat, row))
+            row, flat = row[order], flat[order]
+            first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (flat[1:] != flat[:-1])][: len(flat)])
+            offsets = pa.array(np.searchsorted(row[first], np.arange(batch.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64()))
+                     for x in (flat[first], np.diff(np.r_[first, len(flat)]))]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *lists], names=["id", "terms", "tf"])
+
+    return corpus.select("id", _terms("text").alias("terms")).mapInArrow(run, schema)
+
+
+def _weighed(counted: DataFrame, key: str, idf: Column, documents: DataFrame) -> DataFrame:
+    """``key, term, weight`` of the TF-IDF vectors; a term no document holds weighs most."""
+    rows = counted.join(documents, "term", "left").groupBy(key, "term").agg(
+        F.sum("tf").alias("tf"), F.first("df").alias("df"))  # as they lie by term, rows are not moved again
+    return rows.select(key, "term", (F.col("tf") * idf).alias("weight"))
 
 
 def _runs(upto: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -176,21 +198,26 @@ def _runs(upto: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 def nearest_texts(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Nearest k texts by TF-IDF cosine: ``corpus(id, text)``, ``queries(query_id, text)``; ids are unique.
 
-    Document frequencies and lengths of vectors are grouped sums over all terms. The tasks then need only the terms of
-    a block of queries; whole texts are weighed where they lie.
+    Texts are cut and their terms counted once, into the shared folder. Document frequencies and lengths of vectors are
+    grouped sums over all counted terms. The tasks then need only the terms of a block of queries; whole texts are weighed
+    where they lie.
     """
-    docs = corpus.select("id", _terms("text").alias("terms"))
+    path = scratch(corpus.sparkSession, "terms")
+    _counted(corpus).write.parquet(path)
+    docs = corpus.sparkSession.read.parquet(path)
     asked = queries.select("query_id", _terms("text").alias("terms"))
     n_docs = docs.count()
-    frequency = checkpointed(docs.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(
+    frequency = checkpointed(docs.select(F.explode("terms").alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("df")))
     idf = F.log(F.lit(n_docs + 1.0) / (F.coalesce("df", F.lit(0)) + 1))
 
     def lengths(weighed: DataFrame, key: str) -> DataFrame:
         return weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
 
-    measured = docs.join(lengths(_weighed(docs, "id", idf, frequency), "id"), "id", "left")
-    weighed = checkpointed(_weighed(asked, "query_id", idf, frequency))
+    counted = docs.select("id", F.inline(F.arrays_zip(F.col("terms").alias("term"), "tf")))
+    measured = docs.join(lengths(_weighed(counted, "id", idf, frequency), "id"), "id", "left")
+    once = asked.select("query_id", F.explode("terms").alias("term"), F.lit(1).alias("tf"))
+    weighed = checkpointed(_weighed(once, "query_id", idf, frequency))
     unit = weighed.join(lengths(weighed, "query_id"), "query_id").join(
         frequency.select("term", idf.alias("idf")), "term").where("length > 0").groupBy("query_id").agg(
         F.collect_list(F.struct("term", (F.col("weight") / F.col("length")).alias("weight"), "idf")).alias("unit"))
@@ -219,8 +246,7 @@ def nearest_texts(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                     flat = np.asarray(terms.flatten(), dtype=np.int64)
                     at = np.minimum(np.searchsorted(used, flat), max(len(used) - 1, 0))
                     shared = used[at] == flat if len(used) else np.zeros(len(flat), dtype=bool)
-                    cell, tf = np.unique(row[shared] * max(len(used), 1) + at[shared], return_counts=True)
-                    row, at = np.divmod(cell, max(len(used), 1))
+                    row, at, tf = row[shared], at[shared], np.asarray(piece.column("tf").flatten())[shared]
                     weight = tf * rarity[at] / np.asarray(piece.column("length").fill_null(1.0))[row]
                     scores = np.zeros(piece.num_rows * len(names))
                     for lo, hi in _runs(np.cumsum(held[at]), SCORE_CELLS):

@@ -83,6 +83,20 @@ def test_nearest_texts(spark, monkeypatch, cells):
     assert got[(2, 1)] == (0, 0.0)
 
 
+def test_texts_are_cut_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    df = spark.createDataFrame(list(enumerate([*FRUIT, None])), "id long, text string").mapInPandas(counted, "id long, text string")
+    q = spark.createDataFrame([(0, "apples from florida")], "query_id long, text string")
+    assert values(vectors.nearest_texts(df, q, 2), "id", "rank") == [(1, 1), (3, 2)]
+    assert seen.value == len(FRUIT) + 1
+
+
 def test_probing_all_lists_is_exact(spark, root):
     df, data = corpus(spark, 300)
     centroids = vectors.train_centroids(df, 6)
