@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetloom.llm.words import buffer, gram_hashes, pieces, small_batches, word_hashes, words_of
+from assetloom.llm.words import buffer, gram_hashes, pieces, small_batches, thrifty, word_hashes, words_of
 from assetloom.session import checkpointed
 
 PART_WORDS, PASSAGE_WORDS = 48, 64
@@ -71,8 +71,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     for shard in range(shards):
         held = postings.where(F.col("shard") == shard).drop("shard").toArrow()
         shared = docs.sparkSession.sparkContext.broadcast(_written(held))
-        part = rows.mapInArrow(_searcher(shared, uuid.uuid4().hex, threshold, overlap), f"doc {kind}, item {item_kind}, "
-                               "score double, n_passages int, question_overlap double, answer_overlap double")
+        part = rows.mapInArrow(
+            thrifty(_searcher(shared, uuid.uuid4().hex, threshold, overlap)), f"doc {kind}, item {item_kind}, "
+            "score double, n_passages int, question_overlap double, answer_overlap double")
         part = checkpointed(part) if shards > 1 else part
         found = part if found is None else found.unionByName(part)
     return found.withColumnsRenamed({"doc": id_col, "item": item_col})
@@ -82,7 +83,7 @@ def _postings(entries: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame
     """``item, part, shard`` with the term hashes and weights of the part and the runs of question and answer."""
     kind = dict(entries.dtypes)["item"]
     parts = checkpointed(entries.mapInArrow(
-        _parts, f"number string, item {kind}, part int, terms array<long>, counts array<int>, length int, "
+        thrifty(_parts), f"number string, item {kind}, part int, terms array<long>, counts array<int>, length int, "
         "question array<long>, answer array<long>"))
     whole = parts.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), F.sum(F.size("terms")).alias("p"))
     n, mean, total = whole.first()

@@ -35,6 +35,7 @@ from assetloom.llm.words import (
     single_spaced,
     small_batches,
     streams,
+    thrifty,
     word_hashes,
     words_of,
 )
@@ -54,7 +55,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"))
     sketched = checkpointed(rows.where("doc IS NOT NULL").mapInArrow(
-        _sketcher(n), "doc long, digest binary, bands array<long>"))
+        thrifty(_sketcher(n)), "doc long, digest binary, bands array<long>"))
     nodes = sketched.groupBy("digest").agg(F.min("doc").alias("node"), F.any_value("bands").alias("bands"))
     buckets = nodes.select("node", F.explode("bands").alias("key"))
     leaders = buckets.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -95,7 +96,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> Da
     """The pairs whose exact similarity reaches the threshold."""
     whole = pairs.join(texts.select(F.col("doc").alias("b"), F.col("body").alias("right")), "b").join(
         texts.select(F.col("doc").alias("a"), F.col("body").alias("left")), "a")
-    return whole.select("a", "b", "left", "right").mapInArrow(_verifier(n, threshold), "a long, b long")
+    return whole.select("a", "b", "left", "right").mapInArrow(thrifty(_verifier(n, threshold)), "a long, b long")
 
 
 def weighted_runs(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -30,6 +30,7 @@ from assetloom.llm.words import (
     single_spaced,
     sliding_minimum,
     small_batches,
+    thrifty,
     window_hashes,
     word_hashes,
     words_of,
@@ -60,9 +61,9 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
                        F.xxhash64(text_col).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0)).alias("n")).first()["n"]
     buckets = max(1, -(-int(size) * OVERLAP // BUCKET_BYTES))
-    packed = rows.where("doc IS NOT NULL").mapInArrow(_packer(window, minimiser, buckets), _PACKED)
+    packed = rows.where("doc IS NOT NULL").mapInArrow(thrifty(_packer(window, minimiser, buckets)), _PACKED)
     met = packed.repartition("bucket").sortWithinPartitions("bucket")
-    found = checkpointed(met.mapInArrow(_resolver(window), _FOUND))
+    found = checkpointed(met.mapInArrow(thrifty(_resolver(window)), _FOUND))
     opened = found.where("digest IS NOT NULL")
     earliest = opened.groupBy("digest").agg(F.min("doc").alias("earliest"))
     late = opened.join(earliest, "digest").where("doc > earliest")
@@ -75,7 +76,7 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     schema = "doc long, text long, n_words long, n_removed long, kept_text string"
     if carried:
         schema += f", row {rows.schema['row'].dataType.simpleString()}, body string"
-    kept = rows.join(by_doc, ["doc", "text"], "left").mapInArrow(_cutter(window), schema)
+    kept = rows.join(by_doc, ["doc", "text"], "left").mapInArrow(thrifty(_cutter(window)), schema)
     if carried:
         return kept.select(F.col("row.id").alias(id_col), F.col("body").alias(text_col),
                            *[F.col(f"row.c{k}").alias(c) for k, c in enumerate(rest)], "n_removed", "kept_text")
